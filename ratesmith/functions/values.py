@@ -57,10 +57,6 @@ def percent_change(current: Column, previous: Column) -> Column:
     return F.try_divide((current - previous) * 100.0, previous.cast("double"))
 
 
-def text_array(values: Iterable[str]) -> Column:
-    return F.array(*[F.lit(value) for value in values])
-
-
 def expand_codes(letter: str, prefixes: Iterable[int], count: int) -> list[str]:
     """Letter + prefix + 0..count-1 for every prefix, as a code list for a rule."""
     return [f"{letter}{prefix}{last}" for prefix in prefixes for last in range(count)]

@@ -1,27 +1,29 @@
 """Rule-driven selection of event cohorts.
 
-A rule is plain data made of the small vocabulary below. All rules of a cohort become one
-disjunction, so the episodes are scanned once: a row belongs to the union of the rules' rows
-exactly if the disjunction is true, also where some rules are NULL.
+A rule is plain data made of the small vocabulary below and reads as one SQL predicate. All
+rules of a cohort become one disjunction, so the episodes are scanned once: a row belongs to the
+union of the rules' rows exactly if the disjunction is true, also where some rules are NULL.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date
-from functools import reduce
-from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ratesmith.functions.bands import age_text
 from ratesmith.functions.period import as_date
-from ratesmith.functions.values import code_set, sex_name, text_array
+from ratesmith.functions.values import code_set, sex_name
 from ratesmith.operators.filters import drop_listed, keep_between, keep_listed, keep_period
 from ratesmith.plans import constants as c
 
 
+def _quoted(codes: Sequence[str]) -> str:
+    return ", ".join("'" + code.replace("'", "''") + "'" for code in codes)
+
+
 @dataclass(frozen=True)
 class Listed:
     """The value of any of the columns, or its first `length` characters, is in the list."""
@@ -30,12 +32,12 @@ class Listed:
     codes: tuple[str, ...]
     length: int | None = None
 
-    def column(self) -> Column:
+    def predicate(self) -> str:
         parts = [
-            F.col(name) if self.length is None else F.substring(name, 1, self.length)
+            f"`{name}`" if self.length is None else f"substr(`{name}`, 1, {self.length})"
             for name in self.columns
         ]
-        return reduce(or_, [part.isin(list(self.codes)) for part in parts])
+        return " OR ".join(f"{part} IN ({_quoted(self.codes)})" for part in parts)
 
 
 @dataclass(frozen=True)
@@ -45,32 +47,32 @@ class Overlaps:
     array: str
     codes: tuple[str, ...]
 
-    def column(self) -> Column:
-        return F.arrays_overlap(F.col(self.array), text_array(self.codes))
+    def predicate(self) -> str:
+        return f"arrays_overlap(`{self.array}`, array({_quoted(self.codes)}))"
 
 
 @dataclass(frozen=True)
 class Every:
     parts: tuple
 
-    def column(self) -> Column:
-        return reduce(and_, [part.column() for part in self.parts])
+    def predicate(self) -> str:
+        return " AND ".join(f"({part.predicate()})" for part in self.parts)
 
 
 @dataclass(frozen=True)
 class Some:
     parts: tuple
 
-    def column(self) -> Column:
-        return reduce(or_, [part.column() for part in self.parts])
+    def predicate(self) -> str:
+        return " OR ".join(f"({part.predicate()})" for part in self.parts)
 
 
 @dataclass(frozen=True)
 class Without:
     part: object
 
-    def column(self) -> Column:
-        return ~self.part.column()
+    def predicate(self) -> str:
+        return f"NOT ({self.part.predicate()})"
 
 
 MAIN_DIAGNOSIS = ("DIAG_3_01", "DIAG_4_01")
@@ -143,12 +145,12 @@ def valid_episodes(episodes: DataFrame, start: date | str, end: date | str) -> D
 
 def matching(episodes: DataFrame, rules: Mapping[str, object], name: str) -> DataFrame:
     """Rows of one named rule."""
-    return episodes.where(rules[name].column())
+    return episodes.where(rules[name].predicate())
 
 
 def matching_any(episodes: DataFrame, rules: Mapping[str, object]) -> DataFrame:
     """Rows of at least one rule, in a single scan."""
-    return episodes.where(Some(tuple(rules.values())).column())
+    return episodes.where(Some(tuple(rules.values())).predicate())
 
 
 def cohort_rows(

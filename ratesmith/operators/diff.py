@@ -10,6 +10,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from ratesmith.sources.reference import inline_table
+
 
 class SchemaMismatch(ValueError):
     """The two tables cannot be compared row by row."""
@@ -42,9 +44,8 @@ def schema_differences(
 
 def schema_report(left: DataFrame, right: DataFrame) -> DataFrame:
     """Fields that differ in name or type, with the number of values each side holds in them."""
-    spark = left.sparkSession
     found = schema_differences(left, right, ignore_order=True)
-    report = spark.createDataFrame(found, "field string, left_type string, right_type string")
+    report = inline_table(left.sparkSession, ["field", "left_type", "right_type"], found)
 
     def counts(df: DataFrame, name: str) -> DataFrame:
         mine = [field for field, *_ in found if field in df.columns]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, functions as F
@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from ratesmith.functions.period import ReportingPeriod, as_date
 from ratesmith.functions.values import relabel
 from ratesmith.operators.mapping import active_on_dates, active_only
-from ratesmith.operators.reshape import bands_to_rows, fold_into_bands
+from ratesmith.operators.reshape import totals_by_band
 from ratesmith.plans import constants as c
 
 IDS = ["PRACTICE_CODE", "EXTRACT_DATE"]
@@ -23,71 +23,80 @@ def snapshot(wide: DataFrame, *days: date | str) -> DataFrame:
     return wide.where(F.col("EXTRACT_DATE").isin(dates)).drop(*ADMIN_COLUMNS)
 
 
-def _banded(wide: DataFrame, register: DataFrame | None, days: list[date | str]):
+def _active(
+    wide: DataFrame, register: DataFrame | None, days: Sequence[date | str]
+) -> DataFrame:
     rows = snapshot(wide, *days)
-    if register is not None:
-        rows = active_only(rows, active_on_dates(register, days))
-    return fold_into_bands(rows, IDS)
+    return rows if register is None else active_only(rows, active_on_dates(register, days))
 
 
-def list_size_by_network(
+def network_bands(
     wide: DataFrame,
     mapping: DataFrame,
-    attributes: Mapping[date | str, str],
+    days: Sequence[date | str],
     register: DataFrame | None = None,
 ) -> DataFrame:
-    """Population per network and 5-year band, for one or more snapshot dates in one scan.
+    """Population per snapshot date, network and 5-year band, in one scan for all dates.
 
-    `attributes` gives the attribute id of each date. Practices outside any network are left
-    out. Bands are added up inside each wide row and per network before any row is exploded, so
-    a practice costs one shuffled row at most and not one per year of age.
+    Practices outside any network form the NULL network, so that national totals are complete.
+    The result holds 40 rows per network and date; runs stage it and derive the rest from it.
     """
-    days = list(attributes)
-    rows, bands = _banded(wide, register, days)
-    members = mapping.where(F.col("PCN_CODE").isNotNull()).select(
-        "PRACTICE_CODE", "PCN_CODE", "PCN_NAME"
-    )
-    groups = ["PCN_CODE", "PCN_NAME", "EXTRACT_DATE"]
-    totals = (
-        rows.join(members, "PRACTICE_CODE")
-        .groupBy(*groups)
-        .agg(*[F.sum(name).alias(name) for name in bands])
+    members = mapping.select("PRACTICE_CODE", "PCN_CODE", "PCN_NAME")
+    rows = _active(wide, register, days).join(members, "PRACTICE_CODE", "left")
+    return totals_by_band(
+        rows, [*IDS, "PCN_CODE", "PCN_NAME"], ["PCN_CODE", "PCN_NAME", "EXTRACT_DATE"],
+        "AGE_FIVE_YEAR", "COUNT",
     )
+
+
+def list_size_from(bands: DataFrame, attributes: Mapping[date | str, str]) -> DataFrame:
+    """Population of the networks on some dates, with the attribute id of each date."""
     labels = {as_date(day).isoformat(): label for day, label in attributes.items()}
-    long = bands_to_rows(totals, groups, bands, "AGE_FIVE_YEAR", "COUNT")
-    return long.select(
+    dates = [F.lit(as_date(day)) for day in attributes]
+    kept = bands.where(F.col("PCN_CODE").isNotNull() & F.col("EXTRACT_DATE").isin(dates))
+    return kept.select(
         "PCN_CODE", "PCN_NAME", "AGE_FIVE_YEAR", "COUNT",
         relabel(F.col("EXTRACT_DATE").cast("string"), labels).alias("Attribute_ID"),
         "EXTRACT_DATE",
     )
 
 
-def denominators(
-    wide: DataFrame, mapping: DataFrame, period: ReportingPeriod, register: DataFrame | None = None
-) -> DataFrame:
-    """Population of the report month and of the same month a year earlier.
-
-    Both years use the mapping of the report date.
-    """
-    return list_size_by_network(
-        wide,
-        mapping,
-        {
-            period.month_start: c.ADMISSIONS_DENOMINATOR,
-            period.baseline_month_start: c.ADMISSIONS_BASE_DENOMINATOR,
-        },
-        register,
+def standard_from(bands: DataFrame, day: date | str) -> DataFrame:
+    """National population per band on a date, practices outside any network included."""
+    if as_date(day).day != 1:
+        raise ValueError("the standard population needs the first day of a month")
+    return (
+        bands.where(F.col("EXTRACT_DATE") == F.lit(as_date(day)))
+        .groupBy("AGE_FIVE_YEAR", "EXTRACT_DATE")
+        .agg(F.sum("COUNT").alias("Count"))
     )
 
 
+def denominator_attributes(period: ReportingPeriod) -> dict[date, str]:
+    """Snapshot date and attribute id of the current and the baseline population."""
+    return {
+        period.month_start: c.ADMISSIONS_DENOMINATOR,
+        period.baseline_month_start: c.ADMISSIONS_BASE_DENOMINATOR,
+    }
+
+
+def list_size_by_network(
+    wide: DataFrame,
+    mapping: DataFrame,
+    attributes: Mapping[date | str, str],
+    register: DataFrame | None = None,
+) -> DataFrame:
+    """Population of the networks straight from the wide table."""
+    return list_size_from(network_bands(wide, mapping, list(attributes), register), attributes)
+
+
 def standard_population(
     wide: DataFrame, day: date | str, register: DataFrame | None = None
 ) -> DataFrame:
-    """National population per 5-year band; practices outside any network count too."""
+    """National population per band straight from the wide table; needs no mapping."""
     if as_date(day).day != 1:
         raise ValueError("the standard population needs the first day of a month")
-    rows, bands = _banded(wide, register, [day])
-    totals = rows.groupBy("EXTRACT_DATE").agg(*[F.sum(name).alias(name) for name in bands])
-    return bands_to_rows(totals, ["EXTRACT_DATE"], bands, "AGE_FIVE_YEAR", "Count").select(
+    rows = _active(wide, register, [day])
+    return totals_by_band(rows, IDS, ["EXTRACT_DATE"], "AGE_FIVE_YEAR", "Count").select(
         "AGE_FIVE_YEAR", "EXTRACT_DATE", "Count"
     )

@@ -145,4 +145,4 @@ def batch_sizes(archive: DataFrame) -> DataFrame:
 
 
 def latest_first(rows: DataFrame) -> DataFrame:
-    return rows.orderBy(F.col("ACHIEVEMENT_DATE").desc(), *[n for n in KEY if n[0] != "A"])
+    return rows.orderBy(F.col("ACHIEVEMENT_DATE").desc(), "ORG_ID", "ATTRIBUTE_IDENTIFIER")

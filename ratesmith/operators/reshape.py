@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ratesmith.functions.bands import band_name, parse_age_key
 
+NO_BAND = "(no band)"
+
 
 def value_columns(wide: DataFrame, ids: Sequence[str]) -> list[str]:
     """All columns but the ids; they must share one type."""
@@ -29,43 +31,37 @@ def five_year_band(name: str) -> str | None:
     return None if parsed is None else band_name(*parsed)
 
 
-def fold_into_bands(
-    wide: DataFrame,
-    ids: Sequence[str],
-    band_of: Callable[[str], str | None] = five_year_band,
-) -> tuple[DataFrame, dict[str, str | None]]:
-    """Add up the columns of each band within the row, before anything is exploded.
-
-    Returns the narrow table and its band columns with the band each stands for. Columns
-    without a band share one column, as they would share the NULL group of a long table.
-    """
-    members: dict[str | None, list[str]] = {}
-    for name in value_columns(wide, ids):
-        members.setdefault(band_of(name), []).append(name)
-    names = {band: f"band_{number}" for number, band in enumerate(members)}
-    folded = [_null_safe_total(members[band]).alias(names[band]) for band in members]
-    return wide.select(*ids, *folded), {name: band for band, name in names.items()}
-
-
-def _null_safe_total(columns: Sequence[str]) -> Column:
+def _null_safe_total(columns: Sequence[str]) -> str:
     """Sum that ignores NULLs and is NULL only if every part is."""
-    total = sum((F.coalesce(F.col(name), F.lit(0)) for name in columns[1:]),
-                start=F.coalesce(F.col(columns[0]), F.lit(0)))
-    return F.when(F.coalesce(*[F.col(name) for name in columns]).isNotNull(), total)
+    quoted = [f"`{name}`" for name in columns]
+    total = " + ".join(f"coalesce({name}, 0)" for name in quoted)
+    return f"CASE WHEN coalesce({', '.join(quoted)}) IS NOT NULL THEN {total} END"
 
 
-def bands_to_rows(
-    folded: DataFrame,
+def totals_by_band(
+    wide: DataFrame,
     ids: Sequence[str],
-    bands: dict[str, str | None],
+    groups: Sequence[str],
     band_column: str,
     value_column: str,
+    band_of: Callable[[str], str | None] = five_year_band,
 ) -> DataFrame:
-    """One row per band column, labelled with its band."""
-    cells = F.explode(F.array(*[
-        F.struct(F.lit(label).cast("string").alias("band"), F.col(name).alias("value"))
-        for name, label in bands.items()
-    ])).alias("cell")
-    return folded.select(*ids, cells).select(
-        *ids, F.col("cell.band").alias(band_column), F.col("cell.value").alias(value_column)
+    """Totals per group and band, as one row per band.
+
+    The columns of a band are added up inside the wide row, then over the rows of a group, and
+    only the group totals are turned into rows. A wide row therefore costs at most one shuffled
+    row instead of one per column. Columns without a band share the NULL band.
+    """
+    members: dict[str, list[str]] = {}
+    for name in value_columns(wide, ids):
+        members.setdefault(band_of(name) or NO_BAND, []).append(name)
+    bands = list(members)
+    folded = wide.select(
+        *groups, *[F.expr(_null_safe_total(members[band])).alias(band) for band in bands]
+    )
+    totals = folded.groupBy(*groups).agg(
+        *[F.expr(f"sum(`{band}`) AS `{band}`") for band in bands]
+    )
+    return totals.unpivot(list(groups), bands, band_column, value_column).withColumn(
+        band_column, F.nullif(band_column, F.lit(NO_BAND))
     )

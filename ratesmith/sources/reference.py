@@ -2,18 +2,28 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Sequence
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ratesmith.plans import constants as c
 
 
+def inline_table(
+    spark: SparkSession, columns: Sequence[str], rows: Iterable[Sequence[str]]
+) -> DataFrame:
+    """A few rows of text as a relation whose size the optimiser knows."""
+    literals = ["'" + "', '".join(v.replace("'", "''") for v in row) + "'" for row in rows]
+    if not literals:
+        return spark.createDataFrame([], ", ".join(f"{name} string" for name in columns))
+    body = ", ".join(f"({literal})" for literal in literals)
+    return spark.sql(f"SELECT * FROM VALUES {body} AS rows({', '.join(columns)})")
+
+
 def attribute_mapping(spark: SparkSession) -> DataFrame:
     """Indicator and attribute identifiers with their descriptions."""
-    return spark.createDataFrame(
-        c.ATTRIBUTES,
-        "Indicator_description string, Indicator string, "
-        "Attribute_description string, Attribute_ID string",
-    )
+    columns = ["Indicator_description", "Indicator", "Attribute_description", "Attribute_ID"]
+    return inline_table(spark, columns, c.ATTRIBUTES)
 
 
 def attribute_codes(mapping: DataFrame) -> DataFrame:
@@ -42,4 +52,4 @@ def with_attribute_ids(
 
 def code_relation(spark: SparkSession, codes: list[str]) -> DataFrame:
     """A code list of the rules as a relation."""
-    return spark.range(1).select(F.explode(F.array(*map(F.lit, codes))).alias("code"))
+    return inline_table(spark, ["code"], [[code] for code in codes])

@@ -57,8 +57,10 @@ def register_rows(t: Tables) -> DataFrame:
     return t["fx_practice_register"]
 
 
-def denominators(t: Tables, practices: DataFrame) -> DataFrame:
-    return population.denominators(wide_list_size(t), practices, PERIOD, register_rows(t))
+def network_bands(t: Tables, practices: DataFrame) -> DataFrame:
+    """Population of every network on the three dates of a run."""
+    days = [PERIOD.month_start, PERIOD.baseline_month_start, PERIOD.start]
+    return population.network_bands(wide_list_size(t), practices, days, register_rows(t))
 
 
 def appointments(t: Tables) -> DataFrame:

@@ -100,7 +100,12 @@ def pcn_list_size(t: Tables) -> DataFrame:
 
 @register("SELECT PCN_CODE, PCN_NAME, AGE_FIVE_YEAR, COUNT, EXTRACT_DATE, Attribute_ID FROM {ck_denominators}")
 def denominator_two_periods(t: Tables) -> DataFrame:
-    return b.denominators(t, b.practice_mapping(t))
+    return population.list_size_by_network(
+        b.wide_list_size(t),
+        b.practice_mapping(t),
+        population.denominator_attributes(b.PERIOD),
+        b.register_rows(t),
+    )
 
 
 @register(f"SELECT AGE_FIVE_YEAR, DATE '{CURRENT[0]}' AS EXTRACT_DATE, Count FROM {{ck_england}}")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ratesmith.operators import population, standardise
 from ratesmith.plans import constants as c
+from ratesmith.sources.workspace import staged
 from registry import bindings as b
 from registry.catalogue import register
 from registry.check_views import CURRENT
@@ -24,27 +25,30 @@ def _rounded(rates: DataFrame) -> DataFrame:
     )
 
 
-def numerators(t: Tables, practices: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Current and baseline numerators, both with the current mapping and one standard."""
-    list_size = b.denominators(t, practices)
-    standard = population.standard_population(
-        b.wide_list_size(t), b.PERIOD.start, b.register_rows(t)
+def numerator(
+    t: Tables, practices: DataFrame, bands: DataFrame, baseline: bool = False
+) -> DataFrame:
+    """Numerator of one year. Both years use the current mapping and the same standard."""
+    month = b.PERIOD.baseline_month_start if baseline else b.PERIOD.month_start
+    attribute = c.ADMISSIONS_BASE_NUMERATOR if baseline else c.ADMISSIONS_NUMERATOR
+    return standardise.standardised_numerator(
+        b.baseline_cohort(t) if baseline else b.current_cohort(t),
+        practices,
+        population.list_size_from(bands, {month: ""}),
+        population.standard_from(bands, b.PERIOD.start),
+        attribute,
     )
-    current = standardise.standardised_numerator(
-        b.current_cohort(t), practices,
-        list_size.where(F.col("EXTRACT_DATE") == F.lit(b.PERIOD.month_start)),
-        standard, c.ADMISSIONS_NUMERATOR,
-    )
-    baseline = standardise.standardised_numerator(
-        b.baseline_cohort(t), practices,
-        list_size.where(F.col("EXTRACT_DATE") == F.lit(b.PERIOD.baseline_month_start)),
-        standard, c.ADMISSIONS_BASE_NUMERATOR,
-    )
-    return current, baseline
 
 
-def both_numerators(t: Tables, practices: DataFrame) -> DataFrame:
-    current, baseline = numerators(t, practices)
+def staged_inputs(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """Mapping and banded population, written once because every later step reads them."""
+    practices = staged(b.practice_mapping(t), "pcn_mapping")
+    return practices, staged(b.network_bands(t, practices), "network_bands")
+
+
+def both_numerators(t: Tables, practices: DataFrame, bands: DataFrame) -> DataFrame:
+    current = numerator(t, practices, bands)
+    baseline = numerator(t, practices, bands, baseline=True)
     both = current.unionByName(baseline, allowMissingColumns=True)
     return standardise.with_network_names(both, practices)
 
@@ -52,13 +56,12 @@ def both_numerators(t: Tables, practices: DataFrame) -> DataFrame:
 @register(f"SELECT {_RATE_COLUMNS} FROM {{ck_numerator}}")
 def dsr_numerator(t: Tables) -> DataFrame:
     """Flagship: directly standardised admissions per network, current year."""
-    current, _ = numerators(t, b.practice_mapping(t))
-    return _rounded(current)
+    return _rounded(numerator(t, *staged_inputs(t)))
 
 
 @register(f"SELECT {_RATE_COLUMNS}, PCN_NAME FROM {{ck_both_numerators}}")
 def dsr_two_periods(t: Tables) -> DataFrame:
-    return _rounded(both_numerators(t, b.practice_mapping(t)))
+    return _rounded(both_numerators(t, *staged_inputs(t)))
 
 
 @register(f"""
