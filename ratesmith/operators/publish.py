@@ -83,7 +83,7 @@ def publication_rows(
             F.col(value_column).alias("value"),
         )
         .groupBy("ORGANISATION_CODE", "ORGANISATION_NAME", "MEASURE")
-        .agg(F.sum("value").alias("VALUE"))
+        .agg(F.sum("value").cast("double").alias("VALUE"))
     )
     return totals.withColumns({
         "ORGANISATION_TYPE": F.lit(org_type),

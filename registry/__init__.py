@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-AREAS = ("values", "cohorts", "networks", "rates", "activity", "publishing")
+AREAS = ("values", "cohorts", "networks", "rates", "activity", "publishing", "checks", "synthetic")
 
 
 def load():

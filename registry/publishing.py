@@ -115,7 +115,7 @@ def _publication(t: Tables) -> DataFrame:
         return publish.publication_rows(
             table, c.NETWORK_TYPE, "PCN_CODE", "PCN_NAME", b.PERIOD.year_label, b.PERIOD.end,
             c.ADMISSIONS_CODE, labels, value, b.CREATED_AT,
-        ).withColumn("VALUE", F.col("VALUE").cast("double"))
+        )
 
     return publish.stack([
         rows(_denominators(bands), c.DENOMINATOR_LABELS, "COUNT"),
