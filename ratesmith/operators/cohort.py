@@ -13,11 +13,11 @@ from datetime import date
 
 from pyspark.sql import DataFrame, functions as F
 
+from ratesmith import constants as c
 from ratesmith.functions.bands import age_text
 from ratesmith.functions.period import as_date
 from ratesmith.functions.values import code_set, sex_name
 from ratesmith.operators.filters import drop_listed, keep_between, keep_listed, keep_period
-from ratesmith.plans import constants as c
 
 
 def _quoted(codes: Sequence[str]) -> str:

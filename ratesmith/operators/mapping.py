@@ -6,8 +6,8 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ratesmith import constants as c
 from ratesmith.functions.period import as_date
-from ratesmith.plans import constants as c
 
 
 def valid_on(day: Column, start: str, end: str) -> Column:
@@ -27,7 +27,7 @@ def active_practices(register: DataFrame, list_size: DataFrame, day: date | str)
     A practice with two valid register rows appears twice, as in the register itself.
     """
     when = F.lit(as_date(day))
-    reported = list_size.where(F.col("EXTRACT_DATE") == when).select("PRACTICE_CODE")
+    reported = list_size.where(F.col("EXTRACT_DATE") == when).select("PRACTICE_CODE").distinct()
     open_rows = register.where(_register_valid_on(when))
     return open_rows.select(F.col("CODE").alias("PRACTICE_CODE")).join(
         reported, "PRACTICE_CODE", "left_semi"
@@ -126,5 +126,8 @@ def mapped_only(rows: DataFrame, mapping: DataFrame) -> DataFrame:
 
 
 def shared_keys(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Keys present on both sides; empty if the sets are disjoint."""
-    return left.select(key).intersect(right.select(key))
+    """Keys present on both sides; empty if the sets are disjoint.
+
+    Both sides shrink to their distinct keys before they meet, so a frequent key costs nothing.
+    """
+    return left.select(key).distinct().intersect(right.select(key).distinct())

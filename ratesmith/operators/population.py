@@ -7,11 +7,11 @@ from datetime import date
 
 from pyspark.sql import DataFrame, functions as F
 
+from ratesmith import constants as c
 from ratesmith.functions.period import ReportingPeriod, as_date
 from ratesmith.functions.values import relabel
 from ratesmith.operators.mapping import active_on_dates, active_only
 from ratesmith.operators.reshape import totals_by_band
-from ratesmith.plans import constants as c
 
 IDS = ["PRACTICE_CODE", "EXTRACT_DATE"]
 ADMIN_COLUMNS = ("GP_PATIENT_LIST_KEY", "SYSTEM_CREATED_DATE")

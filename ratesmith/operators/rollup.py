@@ -7,8 +7,8 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ratesmith import constants as c
 from ratesmith.functions.period import as_date
-from ratesmith.plans import constants as c
 
 
 def waits_denominator() -> Column:

@@ -7,7 +7,12 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from ratesmith.functions.bands import (
-    AGE_TOP, SEXES, age_text, band, band_names, band_of_age_text,
+    AGE_TOP,
+    SEXES,
+    age_text,
+    band,
+    band_names,
+    band_of_age_text,
 )
 from ratesmith.operators.mapping import network_names
 
@@ -145,8 +150,7 @@ def standardise_counts(
         F.sum("population").alias("population"),
         F.max("listed").alias("listed"),
     )
-    # One row per stratum: bounded by the value columns of the population table.
-    weights = F.broadcast(standard.select(stratum, F.col("standard")))
+    weights = standard.select(stratum, "standard")
     share = F.when(
         F.col("listed") == 1,
         F.try_divide(F.col("events") * F.col("standard"), F.col("population")),

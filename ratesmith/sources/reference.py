@@ -6,7 +6,8 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ratesmith.plans import constants as c
+from ratesmith import constants as c
+
 
 
 def inline_table(

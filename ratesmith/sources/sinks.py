@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ratesmith.operators.publish import KEY, PUBLICATION_COLUMNS, replace_by_key
+from ratesmith.operators.publish import PUBLICATION_COLUMNS, replace_by_key
 
 DATE_COLUMN = "ACHIEVEMENT_DATE"
 
@@ -45,15 +46,28 @@ def read_published(spark: SparkSession, target: str) -> DataFrame:
     return table.withColumn(DATE_COLUMN, F.col(DATE_COLUMN).cast("date"))
 
 
+def exists(spark: SparkSession, target: str) -> bool:
+    """Whether a path holds a table already."""
+    try:
+        spark.read.parquet(target)
+    except AnalysisException:
+        return False
+    return True
+
+
 def update_published(batch: DataFrame, target: str) -> None:
     """Replace the batch's keys in a published table.
 
-    Only the folders of the batch's dates are read and rewritten, whatever the table's history;
-    the new folders are complete before they replace the old ones.
+    Only the folders of the batch's dates are rewritten and only those of its date range are
+    read, whatever the table's history; the new folders are complete before they replace the old
+    ones. The batch is read several times, so it should be a written table.
     """
     existing = read_published(batch.sparkSession, target)
-    dates = batch.select(DATE_COLUMN).distinct()
-    touched = existing.join(dates, DATE_COLUMN, "left_semi")
+    first, last = batch.agg(F.min(DATE_COLUMN), F.max(DATE_COLUMN)).first()
+    if first is None:
+        return
+    in_range = existing.where(F.col(DATE_COLUMN).between(F.lit(first), F.lit(last)))
+    touched = in_range.join(batch.select(DATE_COLUMN).distinct(), DATE_COLUMN, "left_semi")
     columns = [name for name in existing.columns if name != DATE_COLUMN] + [DATE_COLUMN]
     (
         replace_by_key(touched, batch)
@@ -92,8 +106,3 @@ def read_routed(
     """One indicator's rows; the other indicators' folders are not read."""
     return spark.read.parquet(target).where(F.col(column) == indicator)
 
-
-__all__ = [
-    "KEY", "append", "archive", "insert", "overwrite", "read_published", "read_routed",
-    "replace_publication", "route", "start_published", "update_published",
-]

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from ratesmith import constants as c
 from ratesmith.operators import publish, rollup
-from ratesmith.plans import constants as c
 from ratesmith.sources import reference
 from registry import bindings as b
 from registry.catalogue import register

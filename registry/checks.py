@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from ratesmith import constants as c
 from ratesmith.operators import diff, quality
-from ratesmith.plans import constants as c
 from registry.catalogue import register
 from registry.views import Tables
 

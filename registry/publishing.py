@@ -6,8 +6,8 @@ import uuid
 
 from pyspark.sql import DataFrame, functions as F
 
+from ratesmith import constants as c
 from ratesmith.operators import mapping, population, publish
-from ratesmith.plans import constants as c
 from ratesmith.sources import reference, sinks
 from ratesmith.sources.workspace import new_path, staged
 from registry import activity, bindings as b, rates

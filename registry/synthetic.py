@@ -106,7 +106,7 @@ def _property_check(names: list[str]) -> str:
 _STRINGS = [
     "exact length", "length range", "default length", "custom alphabet", "list alphabet",
     "include", "include within length", "exclude", "digits", "letters", "nondigits",
-    "unambiguous", "urlsafe", "postalsafe", "all lengths occur",
+    "unambiguous", "urlsafe", "postalsafe", "length bounds",
 ]
 
 

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from ratesmith import constants as c
 from ratesmith.functions import bands, period, values
 from ratesmith.operators import population, reshape, rollup
-from ratesmith.plans import constants as c
 from ratesmith.sources import reference, scans
 from registry import bindings as b
 from registry.catalogue import register
