@@ -97,9 +97,11 @@ def repeat(part: Template, least: int, most: int | None = None, lazy: bool = Fal
         raise ValueError("repetition limits must satisfy 0 <= least <= most")
 
     def build(draws: Draws, groups: dict) -> Column:
+        if least == limit:
+            return F.concat(*[part.build(draws, groups) for _ in range(limit)], F.lit(""))
         times = draws.integer(least, limit)
         drawn = F.array(*[part.build(draws, groups) for _ in range(limit)])
-        return F.array_join(F.slice(drawn, F.lit(1), times), "") if limit else F.lit("")
+        return F.array_join(F.slice(drawn, F.lit(1), times), "")
 
     upper = "" if most is None else str(most)
     return Template(f"(?:{part.pattern}){{{least},{upper}}}{'?' if lazy else ''}", build)

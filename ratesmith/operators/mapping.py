@@ -9,6 +9,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ratesmith import constants as c
 from ratesmith.functions.period import as_date
 
+_SPAN, _HALF = 2**32, 2**31
+_OPEN = _SPAN - 1
+
 
 def valid_on(day: Column, start: str, end: str) -> Column:
     """A version is valid from its start to its end, both included; no end means open."""
@@ -89,28 +92,44 @@ def membership_history(
     )
 
 
+def _version_rank(start: Column, end: Column) -> Column:
+    """One number that orders versions: later start first, then open end, then earlier end."""
+    open_or_early = F.when(end.isNull(), _OPEN).otherwise(_HALF - F.unix_date(end))
+    return F.unix_date(start).cast("bigint") * _SPAN + open_or_early
+
+
+def _version_dates(rank: Column) -> tuple[Column, Column]:
+    """Start and end of a ranked version."""
+    low = F.pmod(rank, F.lit(_SPAN))
+    start = F.date_from_unix_date(((rank - low) / _SPAN).cast("int"))
+    end = F.when(low != _OPEN, F.date_from_unix_date((_HALF - low).cast("int")))
+    return start, end
+
+
 def mapping_as_of(history: DataFrame, day: date | str) -> DataFrame:
     """The network of each practice on a date: its valid version with the latest start.
 
-    Ties on the start go to the lowest network code. The choice is a minimum per practice, so
-    each map task sends at most one row per practice however long its history is.
+    Ties on the start go to the lowest network code. The versions of a practice in one network
+    first shrink to one number each, in a hash table of every map task, so that neither a sort
+    nor a shuffle sees the whole history. The choice between networks works on what is left.
     """
-    rest = [n for n in history.columns if n not in ("PRACTICE_CODE", "RELATIONSHIP_START_DATE")]
-    ordered = sorted(rest, key=lambda name: name != "PCN_CODE")
-    latest_first = (-F.unix_date("RELATIONSHIP_START_DATE")).alias("recency")
-    best = (
-        history.where(valid_on(F.lit(as_date(day)), "RELATIONSHIP_START_DATE",
-                               "RELATIONSHIP_END_DATE"))
-        .groupBy("PRACTICE_CODE")
-        .agg(F.min(F.struct(latest_first, *ordered)).alias("best"))
+    versions = ("RELATIONSHIP_START_DATE", "RELATIONSHIP_END_DATE")
+    networks = [name for name in history.columns if name not in versions]
+    rest = [name for name in networks if name not in ("PRACTICE_CODE", "PCN_CODE")]
+    latest = (
+        history.where(valid_on(F.lit(as_date(day)), *versions))
+        .groupBy(*networks)
+        .agg(F.max(_version_rank(*map(F.col, versions))).alias("rank"))
+    )
+    start, end = _version_dates(F.col("rank"))
+    ordered = F.struct(
+        F.negative(F.unix_date(start)).alias("recency"), "PCN_CODE", *rest, end.alias("end"),
+        start.alias("start"),
     )
-    fields = {name: F.col(f"best.{name}") for name in rest}
-    fields["RELATIONSHIP_START_DATE"] = F.date_from_unix_date((-F.col("best.recency")).cast("int"))
+    best = latest.groupBy("PRACTICE_CODE").agg(F.min(ordered).alias("best"))
+    source = {"PRACTICE_CODE": "PRACTICE_CODE", versions[0]: "best.start", versions[1]: "best.end"}
     return best.select(
-        *[
-            F.col(name) if name == "PRACTICE_CODE" else fields[name].alias(name)
-            for name in history.columns
-        ],
+        *[F.col(source.get(name, f"best.{name}")).alias(name) for name in history.columns],
         F.lit(as_date(day)).alias("EXTRACT_DATE"),
     )
 

@@ -10,6 +10,7 @@ from ratesmith.functions.bands import age_key_names
 from ratesmith.functions.period import ReportingPeriod
 from ratesmith.operators import cohort, mapping, population
 from ratesmith.sources import scans
+from ratesmith.sources.workspace import new_path
 from registry.views import REPORT_DATE, Tables
 
 PERIOD = ReportingPeriod.parse(REPORT_DATE)
@@ -40,7 +41,20 @@ def practice_mapping(t: Tables) -> DataFrame:
     return mapping.mapping_as_of(t["fx_mapping_history"], PERIOD.end)
 
 
+_wide_tables: dict[tuple[str, str], str] = {}
+
+
 def wide_list_size(t: Tables) -> DataFrame:
+    """The wide population table as stored input, written once per session and folder."""
+    key = (t.spark.sparkContext.applicationId, t.folder)
+    if key not in _wide_tables:
+        path = new_path(t.spark, "wide_list_size")
+        _pivoted_list_size(t).write.parquet(path)
+        _wide_tables[key] = path
+    return t.spark.read.parquet(_wide_tables[key])
+
+
+def _pivoted_list_size(t: Tables) -> DataFrame:
     """Population snapshots with one column per sex and year of age, and two admin columns."""
     long = t["fx_list_size_snapshots"].withColumn(
         "key", F.concat_ws("_", "SEX", "AGE_FROM", F.col("AGE_FROM") + 1)

@@ -13,6 +13,7 @@ def spark():
         SparkSession.builder.master("local[8]")
         .appName("ratesmith-tests")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "6g")

@@ -27,6 +27,19 @@ def test_latest_valid_version_wins(spark, rows):
     assert dict(found.dtypes)["RELATIONSHIP_START_DATE"] == "date"
 
 
+def test_version_dates_survive_ranking(spark, rows):
+    d = date
+    history = spark.createDataFrame([
+        ("A", d(1900, 2, 3), None, "N1"), ("A", d(1900, 2, 3), d(9999, 12, 31), "N1"),
+        ("B", d(1960, 1, 1), d(2000, 12, 31), "N1"), ("B", d(1960, 1, 1), d(9999, 12, 31), "N1"),
+        ("C", d(1, 1, 1), d(2010, 1, 1), "N1"),
+    ], "PRACTICE_CODE string, RELATIONSHIP_START_DATE date, RELATIONSHIP_END_DATE date, PCN_CODE string")
+    found = mapping.mapping_as_of(history, "2000-12-31")
+    assert rows(found.drop("EXTRACT_DATE")) == [
+        ("A", d(1900, 2, 3), None, "N1"), ("B", d(1960, 1, 1), d(2000, 12, 31), "N1"),
+        ("C", d(1, 1, 1), d(2010, 1, 1), "N1")]
+
+
 def test_active_practices(spark, rows):
     d = date
     register = spark.createDataFrame([
