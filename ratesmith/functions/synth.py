@@ -45,10 +45,6 @@ def _operand(value: int | str | Column) -> Column:
     return F.col(value) if isinstance(value, str) else F.lit(value)
 
 
-def _characters(text: str | Sequence[str]) -> Column:
-    return F.array(*[F.lit(ch) for ch in text])
-
-
 class Draws:
     """Independent random columns for the rows identified by the key columns."""
 
@@ -87,8 +83,10 @@ class Draws:
 
     def choice(self, values: Sequence) -> Column:
         """A value drawn with equal weights."""
-        options = F.array(*[F.lit(value) for value in values])
-        return F.element_at(options, (F.pmod(self._hash(), F.lit(len(values))) + 1).cast("int"))
+        place = (F.pmod(self._hash(), F.lit(len(values))) + 1).cast("int")
+        if all(isinstance(value, str) and len(value) == 1 for value in values):
+            return F.substring(F.lit("".join(values)), place, 1)
+        return F.element_at(F.array(*[F.lit(value) for value in values]), place)
 
     def integer(self, start: int | str | Column, stop: int | str | Column) -> Column:
         """A whole number from start to stop, both included; text names a column."""
@@ -103,7 +101,7 @@ class Draws:
             items, lambda item, place: F.struct(F.xxhash64(base, place).alias("rank"),
                                                 place.alias("place"), item.alias("item"))
         )
-        return F.transform(F.array_sort(ranked), lambda entry: entry["item"])
+        return F.transform(F.sort_array(ranked), lambda entry: entry["item"])
 
     def text(
         self,
@@ -126,15 +124,13 @@ class Draws:
         stop = start if stop is None else stop
         if not pool or start > stop or start < len(include):
             raise ValueError("no such string: check alphabet, length and included characters")
-        drawn = self.integer(start, stop) - len(include)
-        base = self._hash()
-        positions = F.when(drawn > 0, F.sequence(F.lit(1), drawn)).otherwise(
-            F.array().cast("array<int>")
-        )
-        characters = F.transform(positions, lambda place: F.element_at(
-            _characters(pool),
-            (F.pmod(F.xxhash64(base, place), F.lit(len(pool))) + 1).cast("int"),
-        ))
-        if include:
-            characters = self.shuffle(F.concat(characters, _characters(include)))
-        return F.array_join(characters, "")
+        length = self.integer(start, stop) - len(include)
+        longest = F.concat(*[self.choice(pool) for _ in range(stop - len(include))], F.lit(""))
+        value = longest if start == stop else F.substring(longest, F.lit(1), length)
+        for ch in include:  # each at a random place of what is there already
+            place = F.pmod(self._hash(), F.length(value) + 1).cast("int")
+            value = F.concat(
+                F.substring(value, F.lit(1), place), F.lit(ch),
+                F.substring(value, place + 1, F.length(value)),
+            )
+        return value

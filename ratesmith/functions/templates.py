@@ -100,8 +100,10 @@ def repeat(part: Template, least: int, most: int | None = None, lazy: bool = Fal
         if least == limit:
             return F.concat(*[part.build(draws, groups) for _ in range(limit)], F.lit(""))
         times = draws.integer(least, limit)
-        drawn = F.array(*[part.build(draws, groups) for _ in range(limit)])
-        return F.array_join(F.slice(drawn, F.lit(1), times), "")
+        return F.concat(*[
+            F.when(times > place, part.build(draws, groups)).otherwise("")
+            for place in range(limit)
+        ])
 
     upper = "" if most is None else str(most)
     return Template(f"(?:{part.pattern}){{{least},{upper}}}{'?' if lazy else ''}", build)

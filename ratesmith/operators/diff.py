@@ -17,6 +17,17 @@ class SchemaMismatch(ValueError):
     """The two tables cannot be compared row by row."""
 
 
+class DifferencesFound(AssertionError):
+    """Two tables that should be equal are not."""
+
+
+def assert_none(differences: DataFrame, shown: int = 20) -> None:
+    """Fail if a comparison found anything, and show some of it."""
+    found = differences.take(shown)
+    if found:
+        raise DifferencesFound("\n".join(map(str, found)))
+
+
 def _plain(dtype: T.DataType) -> str:
     """Type text without nullability."""
     return dtype.simpleString()

@@ -12,7 +12,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ratesmith import constants as c
 from ratesmith.functions.period import as_date
 from ratesmith.functions.values import relabel, suppress_small_count, whole_number_text
 

@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ratesmith.functions import templates as tp
-from ratesmith.functions.synth import ALPHABETS, Draws
+from ratesmith.functions.synth import Draws
 from ratesmith.operators import generate
 from registry.catalogue import register
 from registry.views import Tables
@@ -84,18 +84,19 @@ def gen_shuffle(t: Tables) -> DataFrame:
     )
 
 
-def _violations(rows: DataFrame, conditions: dict[str, Column]) -> DataFrame:
-    """Per property: all rows drawn and the rows that lack it."""
-    counts = rows.agg(
-        F.count("*").alias("rows_drawn"),
-        *[F.count_if(~F.coalesce(ok, F.lit(False))).alias(f"v_{i}")
-          for i, ok in enumerate(conditions.values())],
-    )
-    cells = F.inline(F.array(*[
-        F.struct(F.lit(name).alias("property"), F.col(f"v_{i}").alias("violations"))
-        for i, name in enumerate(conditions)
-    ]))
-    return counts.select("rows_drawn", cells)
+def _violations(keys: DataFrame, drawn: dict[str, tuple[Column, Column]]) -> DataFrame:
+    """Per property: all rows drawn and the rows that lack it.
+
+    Each property is a narrow aggregate of its own: one select with all the generated text would
+    become a method too long for the JVM to compile.
+    """
+    return reduce(DataFrame.unionByName, [
+        keys.select(column.alias("value")).agg(
+            F.count("*").alias("rows_drawn"),
+            F.count_if(~F.coalesce(ok, F.lit(False))).alias("violations"),
+        ).withColumn("property", F.lit(name))
+        for name, (column, ok) in drawn.items()
+    ])
 
 
 def _property_check(names: list[str]) -> str:
@@ -113,33 +114,27 @@ _STRINGS = [
 @register(_property_check(_STRINGS))
 def gen_string_props(t: Tables) -> DataFrame:
     draws = Draws("row_key", seed=5, vowels="AEIOU")
-    drawn = {
-        "exact": draws.text("A", 5), "ranged": draws.text("A", 11, 20), "plain": draws.text("AA"),
-        "vowels": draws.text("vowels"), "listed": draws.text(["A", "A"]),
-        "with_at": draws.text("ABC", include="@"), "five": draws.text("ABC", 5, include="@"),
-        "no_c": draws.text("ABC", exclude="C"), "digits": draws.text("digits"),
-        "letters": draws.text("letters"), "nondigits": draws.text("nondigits"),
-        "unambiguous": draws.text("unambiguous"), "urlsafe": draws.text("urlsafe"),
-        "postalsafe": draws.text("postalsafe"),
-    }
-    rows = t.sql(_KEYS).select(*[column.alias(name) for name, column in drawn.items()])
-    col = F.col
-    matches = [
-        col("exact").rlike("^A{5}$"), col("ranged").rlike("^A{11,20}$"),
-        col("plain").rlike("^A{1,10}$"), col("vowels").rlike("^[AEIOU]{1,10}$"),
-        col("listed").rlike("^A{1,10}$"), col("with_at").rlike("^[ABC]*@[ABC]*$"),
-        col("five").rlike("^[ABC@]{5}$") & col("five").contains("@"),
-        col("no_c").rlike("^[AB]{1,10}$"), col("digits").rlike("^\\d{1,10}$"),
-        col("letters").rlike("^[a-zA-Z]{1,10}$"), col("nondigits").rlike("^\\D{1,10}$"),
-        col("unambiguous").rlike("^[a-km-zA-HJ-NP-Z2-9]{1,10}$"),
-        col("urlsafe").rlike("^[a-zA-Z0-9._~-]{1,10}$"),
-        col("postalsafe").rlike("^[a-zA-Z0-9 .#/-]{1,10}$"),
-        F.length("plain").between(1, 10),
+    value = F.col("value")
+    drawn = [
+        (draws.text("A", 5), value.rlike("^A{5}$")),
+        (draws.text("A", 11, 20), value.rlike("^A{11,20}$")),
+        (draws.text("AA"), value.rlike("^A{1,10}$")),
+        (draws.text("vowels"), value.rlike("^[AEIOU]{1,10}$")),
+        (draws.text(["A", "A"]), value.rlike("^A{1,10}$")),
+        (draws.text("ABC", include="@"), value.rlike("^[ABC]*@[ABC]*$")),
+        (draws.text("ABC", 5, include="@"), value.rlike("^[ABC@]{5}$") & value.contains("@")),
+        (draws.text("ABC", exclude="C"), value.rlike("^[AB]{1,10}$")),
+        (draws.text("digits"), value.rlike("^\\d{1,10}$")),
+        (draws.text("letters"), value.rlike("^[a-zA-Z]{1,10}$")),
+        (draws.text("nondigits"), value.rlike("^\\D{1,10}$")),
+        (draws.text("unambiguous"), value.rlike("^[a-km-zA-HJ-NP-Z2-9]{1,10}$")),
+        (draws.text("urlsafe"), value.rlike("^[a-zA-Z0-9._~-]{1,10}$")),
+        (draws.text("postalsafe"), value.rlike("^[a-zA-Z0-9 .#/-]{1,10}$")),
+        (draws.text("printable", 3, 4), F.length(value).between(3, 4)),
     ]
-    return _violations(rows, dict(zip(_STRINGS, matches)))
+    return _violations(t.sql(_KEYS), dict(zip(_STRINGS, drawn)))
 
 
-_W = tp.any_of(ALPHABETS["word"])
 TEMPLATES = {
     "literal": tp.text("foo"),
     "dot": tp.repeat(tp.any_character(), 1, 8),
@@ -169,15 +164,11 @@ UNANCHORED = {"look-ahead", "look-behind"}
 def gen_pattern_props(t: Tables) -> DataFrame:
     """Values drawn from templates, matched as a whole against the template's own pattern."""
     draws = Draws("row_key", seed=6)
-    rows = t.sql(_KEYS).select(
-        *[template.column(draws).alias(name) for name, template in TEMPLATES.items()]
-    )
-
-    def matches(name: str, template: tp.Template) -> Column:
+    drawn = {}
+    for name, template in TEMPLATES.items():
         whole = template.pattern if name in UNANCHORED else f"\\A(?:{template.pattern})\\z"
-        return F.col(f"`{name}`").rlike(whole)
-
-    return _violations(rows, {name: matches(name, tm) for name, tm in TEMPLATES.items()})
+        drawn[name] = (template.column(draws), F.col("value").rlike(whole))
+    return _violations(t.sql(_KEYS), drawn)
 
 
 _EPISODES = [
@@ -204,4 +195,13 @@ def gen_episodes(t: Tables) -> DataFrame:
         col("MYDOB").rlike("^(0[1-9]|1[0-2])\\d{4}$"),
         col("OPERTN_3_01").isNull() | col("OPERTN_3_01").rlike("^[AKSXZ]\\d{2}$"),
     ]
-    return _violations(rows, dict(zip(_EPISODES, conditions)))
+    counts = rows.agg(
+        F.count("*").alias("rows_drawn"),
+        *[F.count_if(~F.coalesce(ok, F.lit(False))).alias(f"v_{i}")
+          for i, ok in enumerate(conditions)],
+    )
+    cells = F.inline(F.array(*[
+        F.struct(F.lit(name).alias("property"), F.col(f"v_{i}").alias("violations"))
+        for i, name in enumerate(_EPISODES)
+    ]))
+    return counts.select("rows_drawn", cells)

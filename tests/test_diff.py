@@ -19,6 +19,13 @@ def test_copies_count(spark, rows):
     assert rows(diff.row_differences(left, right)) == [(1, 2, 1), (3, 1, 0), (4, 0, 2)]
 
 
+def test_assertion_shows_differences(spark):
+    left = spark.createDataFrame([(1,)], "a int")
+    diff.assert_none(diff.row_differences(left, left))
+    with pytest.raises(diff.DifferencesFound, match="a=1"):
+        diff.assert_none(diff.row_differences(left, left.where("a > 1")))
+
+
 def test_arrays_compare(spark, rows):
     left = spark.createDataFrame([([1, 2],), (None,)], "a array<int>")
     right = spark.createDataFrame([([2, 1],), (None,)], "a array<int>")
