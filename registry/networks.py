@@ -24,7 +24,8 @@ def active_practices(t: Tables) -> DataFrame:
     )
 
 
-@register(f"SELECT * FROM {{ck_active_snapshots}} WHERE EXTRACT_DATE = {_DAY}")
+@register(f"""
+SELECT PRACTICE_CODE, SEX, AGE_FROM, EXTRACT_DATE, CAST(val AS BIGINT) AS val FROM {{ck_active_snapshots}} WHERE EXTRACT_DATE = {_DAY}""")
 def active_list_size(t: Tables) -> DataFrame:
     rows = population.snapshot(t["fx_list_size_snapshots"], b.PERIOD.month_start)
     active = mapping.active_practices(t["fx_practice_register"], rows, b.PERIOD.month_start)

@@ -13,7 +13,7 @@ from registry.check_views import CURRENT
 from registry.views import Tables
 
 _RATE_COLUMNS = (
-    "PCN_CODE, admissions, CAST(eng_population AS BIGINT) AS eng_population, ROUND(stan_sum, 4) AS stan_sum, ROUND(DSR, 10) AS DSR, "
+    "PCN_CODE, CAST(admissions AS BIGINT) AS admissions, CAST(eng_population AS BIGINT) AS eng_population, ROUND(stan_sum, 4) AS stan_sum, ROUND(DSR, 10) AS DSR, "
     "CAST(pcn_pop AS BIGINT) AS pcn_pop, standardised_admissions, ROUND(percentage_change, 6) AS percentage_change, ATTRIBUTE_ID"
 )
 
