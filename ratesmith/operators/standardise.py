@@ -127,7 +127,7 @@ def standardise_counts(
     unit: str,
     stratum: str,
 ) -> DataFrame:
-    """Directly standardised rate of each unit.
+    """Directly standardised rate of each listed unit.
 
     `units` lists the units, `events` holds `events` and `population` holds `population` per unit
     and stratum, `standard` holds `standard` per stratum. The three unit tables are stacked and
@@ -139,21 +139,23 @@ def standardise_counts(
     stacked = reduce(DataFrame.unionByName, [
         units.select(unit, F.lit(None).cast("string").alias(stratum),
                      F.lit(0).cast("bigint").alias("events"), blank.alias("population"),
-                     F.lit(0).alias("listed")),
-        events.select(unit, stratum, F.col("events").cast("bigint"),
-                      blank.alias("population"), F.lit(0).alias("listed")),
+                     F.lit(False).alias("peopled"), F.lit(True).alias("wanted")),
+        events.select(unit, stratum, F.col("events").cast("bigint"), blank.alias("population"),
+                      F.lit(False).alias("peopled"), F.lit(False).alias("wanted")),
         population.select(unit, stratum, blank.alias("events"),
-                          F.col("population").cast("bigint"), F.lit(1).alias("listed")),
+                          F.col("population").cast("bigint"),
+                          F.lit(True).alias("peopled"), F.lit(False).alias("wanted")),
     ])
     cells = stacked.groupBy(unit, stratum).agg(
         F.coalesce(F.sum("events"), F.lit(0)).alias("events"),
         F.sum("population").alias("population"),
-        F.max("listed").alias("listed"),
+        F.max("peopled").alias("peopled"),
+        F.max("wanted").alias("wanted"),
     )
     weights = standard.select(stratum, "standard")
     share = F.when(
-        F.col("listed") == 1,
-        F.try_divide(F.col("events") * F.col("standard"), F.col("population")),
+        F.col("peopled"),
+        F.try_divide(F.col("events").cast("double") * F.col("standard"), F.col("population")),
     )
     total = standard.agg(F.sum("standard").alias("standard_total")).scalar()
     return (
@@ -164,11 +166,14 @@ def standardise_counts(
             F.sum("events").alias("events"),
             F.sum("share").alias("expected"),
             F.sum("population").alias("population"),
-            F.count_if((F.col("listed") == 1) & F.col("share").isNull()).alias("strata_skipped"),
-            F.max("listed").alias("listed"),
+            F.count_if(F.col("peopled") & F.col("share").isNull()).alias("strata_skipped"),
+            F.max("peopled").alias("peopled"),
+            F.max("wanted").alias("wanted"),
         )
-        .withColumn("standard_total", F.when(F.col("listed") == 1, total))
+        .where("wanted")
+        .withColumn("standard_total", F.when(F.col("peopled"), total))
         .withColumn("rate", F.col("expected") * F.try_divide(F.lit(1.0), F.col("standard_total")))
+        .drop("peopled", "wanted")
     )
 
 

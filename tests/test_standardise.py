@@ -87,7 +87,8 @@ def test_rate_by_hand(spark):
     found = rates(
         spark, ["N1", "N2", "N3"],
         [("N1", "young", 2), ("N1", "old", 3), ("N2", "old", 1), ("N1", None, 7)],
-        [("N1", "young", 100), ("N1", "old", 50), ("N2", "young", 10), ("N2", "old", 20)],
+        [("N1", "young", 100), ("N1", "old", 50), ("N2", "young", 10), ("N2", "old", 20),
+         ("not listed", "old", 5)],
         [("young", 1000), ("old", 500)])
     expected = 2 * 1000 / 100 + 3 * 500 / 50
     assert found["N1"].expected == pytest.approx(expected)
@@ -95,6 +96,7 @@ def test_rate_by_hand(spark):
     # events without a stratum count as events but not in the rate
     assert found["N1"].events == 12 and found["N1"].population == 150
     assert found["N2"].rate == pytest.approx(25 / 1500)
+    assert set(found) == {"N1", "N2", "N3"}
     # a unit without population has neither rate nor standard, but it stays
     assert found["N3"].events == 0
     assert found["N3"].rate is None and found["N3"].standard_total is None
