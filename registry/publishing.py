@@ -204,7 +204,7 @@ def keyed_replace(t: Tables) -> DataFrame:
     """A published table after an update that rewrites only the folders of the batch's dates."""
     target = new_path(t.spark, "published")
     sinks.start_published(b.published(t), target)
-    sinks.update_published(b.late_batch(t), target)
+    sinks.update_published(staged(b.late_batch(t), "late_batch"), target)
     return b.stamp_text(sinks.read_published(t.spark, target))
 
 
@@ -234,8 +234,9 @@ def archive_batches(t: Tables) -> DataFrame:
     """Batch sizes of an archive that was offered the same batch twice."""
     target = new_path(t.spark, "archive")
     sinks.overwrite(b.published(t), target)
+    batch = staged(b.late_batch(t), "late_batch")
     for _ in range(2):
-        sinks.archive(b.late_batch(t), target)
+        sinks.archive(batch, target)
     return b.stamp_text(publish.batch_sizes(t.spark.read.parquet(target)))
 
 
