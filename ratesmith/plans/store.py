@@ -28,7 +28,7 @@ class Store:
     def archive(self, name: str, batch: DataFrame) -> bool:
         if self.has(name):
             return sinks.archive(batch, self.path(name))
-        sinks.overwrite(batch, self.path(name))
+        sinks.append(batch, self.path(name))
         return True
 
     def publish(self, name: str, batch: DataFrame) -> DataFrame:

@@ -36,9 +36,18 @@ def insert(df: DataFrame, table: str, replace: bool = True) -> None:
     df.select(*columns).write.insertInto(table, overwrite=replace)
 
 
+def _by_folder(df: DataFrame, column: str) -> DataFrame:
+    """Rows brought together by folder, so that tasks do not each write a file to every folder.
+
+    Adaptive execution splits the folders that hold too much for one task.
+    """
+    return df.hint("rebalance", column)
+
+
 def start_published(df: DataFrame, target: str) -> None:
     """First write of a published table, one folder per achievement date."""
-    df.write.mode("error").partitionBy(DATE_COLUMN).parquet(target)
+    rows = _by_folder(df, DATE_COLUMN)
+    rows.write.mode("error").partitionBy(DATE_COLUMN).parquet(target)
 
 
 def read_published(spark: SparkSession, target: str) -> DataFrame:
@@ -47,11 +56,13 @@ def read_published(spark: SparkSession, target: str) -> DataFrame:
 
 
 def exists(spark: SparkSession, target: str) -> bool:
-    """Whether a path holds a table already."""
+    """Whether a path holds a table already. A table that cannot be read is an error."""
     try:
         spark.read.parquet(target)
-    except AnalysisException:
-        return False
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
     return True
 
 
@@ -69,9 +80,9 @@ def update_published(batch: DataFrame, target: str) -> None:
     in_range = existing.where(F.col(DATE_COLUMN).between(F.lit(first), F.lit(last)))
     touched = in_range.join(batch.select(DATE_COLUMN).distinct(), DATE_COLUMN, "left_semi")
     columns = [name for name in existing.columns if name != DATE_COLUMN] + [DATE_COLUMN]
+    updated = replace_by_key(touched, batch).select(*columns)
     (
-        replace_by_key(touched, batch)
-        .select(*columns)
+        _by_folder(updated, DATE_COLUMN)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(DATE_COLUMN)
@@ -97,7 +108,8 @@ def replace_publication(batch: DataFrame, target: str) -> None:
 
 def route(landing: DataFrame, target: str, column: str = "DATA_REFERENCE_IDENTIFIER") -> None:
     """Write each indicator to its own folder in one pass over the landing rows."""
-    landing.write.mode("overwrite").partitionBy(column).parquet(target)
+    rows = _by_folder(landing, column)
+    rows.write.mode("overwrite").partitionBy(column).parquet(target)
 
 
 def read_routed(

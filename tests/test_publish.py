@@ -1,5 +1,6 @@
 from datetime import date, datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from ratesmith import constants as c
@@ -110,6 +111,21 @@ def test_archive_takes_newer_batches_only(spark, rows):
     assert publish.append_if_newer(second, first).count() == 1
 
 
+def test_only_a_missing_table_counts_as_absent(spark, tmp_path):
+    assert not sinks.exists(spark, str(tmp_path / "nothing"))
+    (tmp_path / "broken").mkdir()
+    (tmp_path / "broken" / "part.parquet").write_text("no table")
+    with pytest.raises(Exception):
+        sinks.exists(spark, str(tmp_path / "broken"))
+
+
+def test_folders_get_few_files(spark):
+    target = new_path(spark, "test-folders")
+    data = [(str(i), day, "x", "1") for i in range(50) for day in (D1, D2)]
+    sinks.start_published(long_table(spark, *data).repartition(8), target)
+    assert len(spark.read.parquet(target).inputFiles()) == 2
+
+
 def test_suppression_leaves_denominators(spark, rows):
     table = long_table(spark, ("A", D1, "num", "3"), ("A", D1, "den", "3"), ("B", D1, "num", "12"))
     assert rows(publish.suppressed(table, ["num"]), "ATTRIBUTE_IDENTIFIER", "ATTRIBUTE_VALUE") == [
