@@ -1,35 +1,40 @@
-"""Where intermediate and output tables of a session go."""
+"""Where intermediate tables of a session go."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
-_own_folders: dict[str, str] = {}
+WAREHOUSE_SETTING = "spark.sql.warehouse.dir"
+_cleared_on_exit: set[str] = set()
 
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the session names it.
 
-    Only a local session without that setting gets a temporary folder of its own.
+    Without a checkpoint folder it is the warehouse, which all executors share too.
     """
-    folder = spark.conf.get(CHECKPOINT_SETTING, None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder all executors share")
-    application = spark.sparkContext.applicationId
-    if application not in _own_folders:
-        _own_folders[application] = tempfile.mkdtemp(prefix="ratesmith-")
-    return _own_folders[application]
+    folder = spark.conf.get(CHECKPOINT_SETTING, None) or spark.conf.get(WAREHOUSE_SETTING)
+    return folder.rstrip("/")
+
+
+def session_root(spark: SparkSession) -> str:
+    """This application's own folder there; it is removed when the session's JVM ends."""
+    root = f"{shared_folder(spark)}/ratesmith-{spark.sparkContext.applicationId}"
+    if root not in _cleared_on_exit:
+        path = spark._jvm.org.apache.hadoop.fs.Path(root)
+        system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        system.mkdirs(path)
+        system.deleteOnExit(path)
+        _cleared_on_exit.add(root)
+    return root
 
 
 def new_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no other run uses."""
-    return f"{shared_folder(spark)}/ratesmith/{name}-{uuid.uuid4().hex}"
+    return f"{session_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:

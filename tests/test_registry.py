@@ -9,12 +9,12 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from ratesmith.operators import population
-from registry import bindings as b, rates
+from registry import bindings as b, load, rates
 from registry.views import Tables
 from tools.check import TABLES, normal
 
 DATA = Path(os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001"))
-QUERIES, CHECKS = entry.queries(), entry.oracle_sql()
+QUERIES, CHECKS = load().QUERIES, load().CHECKS
 # operators that multiply rows or leave the JVM row by row
 AVOIDED = ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "MapInPandas")
 
