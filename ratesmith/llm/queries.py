@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ratesmith.llm import exact_dedup, mixing, packing, quality
+from ratesmith.llm import exact_dedup, language_id, mixing, packing, quality, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -26,6 +26,11 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+@query
+def op1_language_ppm(spark, folder):
+    return language_id.language_report(documents(spark, folder))
+
+
 def packed_pieces(docs: DataFrame) -> DataFrame:
     pieces = packing.pack(docs, tokenizer_path())
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
@@ -36,6 +41,12 @@ def op2_pack_powers_of_two(spark, folder):
     return packed_pieces(documents(spark, folder))
 
 
+@query
+def op4_toxicity_nnpu(spark, folder):
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    return toxicity.toxicity_report(documents(spark, folder), labels)
+
+
 @query
 def op5_line_frequency(spark, folder):
     return quality.quality_report(documents(spark, folder))
