@@ -1,12 +1,14 @@
 """Toxicity by non-negative positive-unlabelled learning.
 
-A linear model over the words of a text is trained from confirmed toxic texts (P) and texts
+A linear model over the words of a text and their beginnings (four to seven letters, which hold
+stems together) is trained from confirmed toxic texts (P) and texts
 without regard to their labels (U) with the risk
     prior * E_P[loss(+)] + max(0, E_U[loss(-)] - prior * E_P[loss(-)]),
 where the prior is the toxic share of the labelled training rows; where the second part falls
 below zero, the step goes the other way. Training reads bounded samples of whole texts
-(`POSITIVES` and `UNLABELLED`, by a hash of doc_id) and words that at least `LEAST_DOCUMENTS`
-sampled texts hold, at most `VOCABULARY` of them.
+(`POSITIVES` and `UNLABELLED`, by a hash of doc_id). Features are held by at least
+`LEAST_DOCUMENTS` toxic texts, and by more of them than of the unlabelled ones by `LEAST_LIFT`
+standard deviations; the `VOCABULARY` strongest are used, with weights of zero or more.
 
 NULL and empty texts get the model's constant. Without toxic training rows every score is 0.
 A document with several labels is toxic if one says so; labels without doc_id match nothing.
@@ -25,37 +27,79 @@ from pyspark.sql import DataFrame, functions as F
 
 from ratesmith.llm.common import fold
 
-POSITIVES = 4000
+POSITIVES = 3000
 UNLABELLED = 12000
-VOCABULARY = 20000
-LEAST_DOCUMENTS = 8
+VOCABULARY = 1000
+LEAST_DOCUMENTS = 6
+LEAST_LIFT = 8.0
+BEGINNINGS = range(4, 8)
+CACHED_WORDS = 200_000
 EPOCHS = 40
 BATCHES = 20
 RATE = 0.05
-DECAY = 2e-3
+DECAY = 3e-4
 SEED = 5
 WORDS = re.compile(r"[^\W\d_]+")
 SCHEMA = "doc_id long, held_out boolean, score double, predicted int"
 
 
+def features(word: str) -> set[str]:
+    """A word, marked as whole, and its beginnings."""
+    return {word[:n] for n in BEGINNINGS if n <= len(word)} | {f"{word}."}
+
+
+class Known(dict):
+    """The features of a word that a model knows; most words have none."""
+
+    def __init__(self, names):
+        super().__init__()
+        self.names = names
+
+    def __missing__(self, word: str) -> tuple[str, ...]:
+        found = tuple(sorted(features(word) & self.names))
+        if len(self) >= CACHED_WORDS:
+            self.clear()
+        self[word] = found
+        return found
+
+    def of(self, text: str | None) -> set[str]:
+        return {name for word in set(WORDS.findall((text or "").lower())) for name in self[word]}
+
+
 @dataclass
 class Model:
     constant: float
     weights: dict[str, float] = field(default_factory=dict)
 
-    def score(self, text: str | None) -> float:
-        found = self.weights.keys() & WORDS.findall((text or "").lower())
-        total = self.constant + sum(sorted(self.weights[word] for word in found))
-        return float(1 / (1 + np.exp(-np.clip(total, -500, 500))))
+    def scorer(self):
+        known = Known(self.weights.keys())
+
+        def score(text: str | None) -> float:
+            total = self.constant + sum(self.weights[name] for name in sorted(known.of(text)))
+            return float(1 / (1 + np.exp(-np.clip(total, -500, 500))))
+
+        return score
+
+
+def _indexed(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, int]:
+    rows = np.repeat(np.arange(len(texts)), [len(text) for text in texts])
+    return rows, np.concatenate([*texts, np.zeros(0, np.int64)]).astype(np.int64), len(texts)
 
 
-def _indexed(texts: list[set[str]], place: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
-    rows, columns = [], []
-    for row, words in enumerate(texts):
-        known = sorted(place[word] for word in words if word in place)
-        rows += [row] * len(known)
-        columns += known
-    return np.array(rows, np.int64), np.array(columns, np.int64)
+def chosen_features(toxic: list[str], other: list[str]) -> list[str]:
+    """Features that mark toxic texts, the strongest first."""
+    held = Counter(name for text in toxic for name in set().union(
+        *map(features, set(WORDS.findall((text or "").lower())))))
+    held = {name: n for name, n in held.items() if n >= LEAST_DOCUMENTS}
+    known = Known(held.keys())
+    usual = Counter(name for text in other for name in known.of(text))
+    lifts = []
+    for name, n in held.items():
+        share = (usual[name] + 0.5) / (len(other) + 1)
+        lift = (n / len(toxic) - share) / np.sqrt(share * (1 - share) / len(toxic))
+        if lift >= LEAST_LIFT:
+            lifts.append((-lift, name))
+    return [name for _, name in sorted(lifts)[:VOCABULARY]]
 
 
 def _risk_step(weights, constant, prior, toxic, other):
@@ -90,10 +134,10 @@ def fit(toxic: list[str], other: list[str], prior: float) -> Model:
     """Model from toxic and unlabelled texts."""
     if not toxic or not other or prior <= 0:
         return Model(-500.0)
-    sides = [[set(WORDS.findall((text or "").lower())) for text in texts] for texts in (toxic, other)]
-    counts = Counter(word for texts in sides for words in texts for word in words)
-    often = sorted((-n, word) for word, n in counts.items() if n >= LEAST_DOCUMENTS)[:VOCABULARY]
-    place = {word: i for i, (_, word) in enumerate(often)}
+    place = {name: i for i, name in enumerate(chosen_features(toxic, other))}
+    known = Known(place.keys())
+    sides = [[np.array(sorted(place[name] for name in known.of(text)), np.int64) for text in texts]
+             for texts in (toxic, other)]
     weights, constant = np.zeros(len(place)), float(np.log(prior / (1 - min(prior, 0.99))))
     moments = [np.zeros(len(place) + 1), np.zeros(len(place) + 1)]
     draw, step = np.random.default_rng(SEED), 0
@@ -101,7 +145,7 @@ def fit(toxic: list[str], other: list[str], prior: float) -> Model:
         parts = []
         for texts in sides:
             order = np.array_split(draw.permutation(len(texts)), BATCHES)
-            parts.append([(*_indexed([texts[i] for i in own], place), len(own)) for own in order])
+            parts.append([_indexed([texts[i] for i in own]) for own in order])
         for toxic_part, other_part in zip(*parts):
             if not toxic_part[2] or not other_part[2]:
                 continue
@@ -111,7 +155,7 @@ def fit(toxic: list[str], other: list[str], prior: float) -> Model:
             moments[0] = 0.9 * moments[0] + 0.1 * full
             moments[1] = 0.999 * moments[1] + 0.001 * full**2
             change = RATE * (moments[0] / (1 - 0.9**step)) / (np.sqrt(moments[1] / (1 - 0.999**step)) + 1e-8)
-            weights, constant = weights - change[:-1], constant - change[-1]
+            weights, constant = np.maximum(0, weights - change[:-1]), constant - change[-1]
     return Model(float(constant), {word: float(weights[i]) for word, i in place.items()})
 
 
@@ -138,8 +182,9 @@ def score(documents: DataFrame, model: Model) -> DataFrame:
     """doc_id, held_out (as given), score and predicted of every text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        score_text = model.scorer()
         for batch in batches:
-            scores = [model.score(text) for text in batch["text"].to_pylist()]
+            scores = [score_text(text) for text in batch["text"].to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"], batch["held_out"], pa.array(scores, pa.float64()),
                  pa.array([int(value >= 0.5) for value in scores], pa.int32())],
