@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ratesmith.llm import exact_dedup, language_id, mixing, packing, quality, toxicity
+from ratesmith.llm import (
+    exact_dedup, language_id, mixing, packing, pii, quality, toxicity, url_filter,
+)
+from ratesmith.sources.workspace import staged
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -41,6 +44,11 @@ def op2_pack_powers_of_two(spark, folder):
     return packed_pieces(documents(spark, folder))
 
 
+@query
+def op3_personal_data(spark, folder):
+    return pii.pii_report(documents(spark, folder))
+
+
 @query
 def op4_toxicity_nnpu(spark, folder):
     labels = spark.read.parquet(f"{folder}/labels.parquet")
@@ -52,6 +60,30 @@ def op5_line_frequency(spark, folder):
     return quality.quality_report(documents(spark, folder))
 
 
+# Dated list rows the given pages yield; the text is valid in Spark and in the check engine.
+LIST_ROWS = """
+WITH u AS (SELECT DISTINCT lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/:?#]+)', 1)) AS host,
+  regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+/([^/?#]+)', 1) AS segment FROM {pages}),
+h AS (SELECT DISTINCT host, length(host) * 7 + ascii(host) AS n FROM u WHERE host <> ''),
+p AS (SELECT concat(host, '/', segment) AS path, length(host) * 5 + ascii(segment) * 3 AS n FROM u WHERE host <> '' AND segment <> ''),
+e AS (SELECT host AS key, CASE WHEN n % 5 = 0 THEN 'allow' ELSE 'block' END AS action, 'add' AS change, n % 300 AS later FROM h WHERE n % 3 < 2
+UNION ALL SELECT host, CASE WHEN n % 5 = 0 THEN 'allow' ELSE 'block' END, 'remove', n % 300 + 120 FROM h WHERE n % 3 < 2
+UNION ALL SELECT host, 'block', 'add', n % 300 + 300 FROM h WHERE n % 3 = 1
+UNION ALL SELECT path, CASE WHEN n % 2 = 0 THEN 'allow' ELSE 'block' END, 'add', n % 400 FROM p WHERE n % 4 < 2
+UNION ALL SELECT DISTINCT regexp_extract(host, '([^.]+[.][^.]+)$', 1), 'block', 'add', 100 FROM h
+UNION ALL SELECT DISTINCT regexp_extract(host, '([^.]+[.][^.]+)$', 1), 'block', 'remove', 160 FROM h)
+SELECT key, action, change, CAST(DATE '2024-01-01' + CAST(later AS INT) AS DATE) AS day FROM e"""
+
+
+@query
+def op6_temporal_lists(spark, folder):
+    pages = spark.read.parquet(f"{folder}/pages.parquet").select("page_id", "url")
+    fetch_day = F.date_add(F.lit("2024-01-01").cast("date"), F.pmod("page_id", F.lit(600)).cast("int"))
+    entries = staged(spark.sql(LIST_ROWS, pages=pages), "list_rows")
+    return url_filter.judge(
+        pages.withColumn("fetch_day", fetch_day), entries, "page_id", "url", "fetch_day")
+
+
 @query
 def op7_exact_copies(spark, folder):
     return exact_dedup.exact_copies(documents(spark, folder))
@@ -63,6 +95,19 @@ def op10_mix_sources(spark, folder):
 
 
 CHECKS = {
+    "op6_temporal_lists": """
+WITH l AS (""" + LIST_ROWS.replace("{pages}", "pages") + """),
+d AS (SELECT DISTINCT * FROM l),
+i AS (SELECT key, action, change, day AS first, lead(day) OVER (PARTITION BY key, action
+  ORDER BY day, CASE WHEN change = 'remove' THEN 0 ELSE 1 END) AS last FROM d),
+c AS (SELECT row_number() OVER () AS r, page_id, url, DATE '2024-01-01' + CAST(page_id % 600 AS INT) AS fetch_day,
+  nullif(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/:?#]+)', 1)), '') AS host,
+  regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+/([^/?#]+)', 1) AS segment FROM pages),
+m AS (SELECT r, i.key, i.action, row_number() OVER (PARTITION BY r ORDER BY length(i.key) DESC, i.action) AS place
+  FROM c JOIN i ON i.change = 'add' AND i.first <= c.fetch_day AND (i.last IS NULL OR i.last > c.fetch_day)
+  AND (i.key = c.host OR i.key = c.host || '/' || c.segment OR ends_with(c.host, '.' || i.key)))
+SELECT page_id, url, CAST(fetch_day AS DATE) AS fetch_day, host, m.key AS matched_key, m.action,
+ coalesce(m.action, 'allow') <> 'block' AS kept FROM c LEFT JOIN m ON c.r = m.r AND place = 1""",
     "op7_exact_copies": """
 WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS size,
   sha256(regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]', '', 'g')) AS text_sha256 FROM documents),
