@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ratesmith.llm import common, exact_dedup, mixing, quality
+from ratesmith.llm import common, exact_dedup, mixing, ngram_join, quality
 from ratesmith.llm.queries import packed_pieces
 from ratesmith.sources.workspace import staged
 
@@ -21,6 +21,17 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return common.rows_kept(documents, exact_dedup.decide(documents).where("kept"))
 
 
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: the one with the smallest doc_id."""
+    documents = common.numbered_documents(docs)
+    found = ngram_join.near_components(documents, words=5, percent=80)
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", common.ROW)
+    alone = found.where("n_shingles = 0").select(common.ROW)
+    kept = found.where("n_shingles > 0").groupBy("component_id").agg(
+        F.min(order).alias("least")).select(F.col(f"least.{common.ROW}").alias(common.ROW))
+    return common.rows_kept(documents, kept.unionByName(alone))
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The words the mixture takes, documents drawn twice in two rows."""
     return mixing.mixed_documents(common.numbered_documents(docs))
@@ -34,6 +45,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("quality_rules", quality_rules),
     ("exact_dedup", exact_copies),
+    ("near_copies", near_copies),
     ("mix_sources", mix_sources),
     ("packing", pack),
 ]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ratesmith.llm import (
-    exact_dedup, language_id, mixing, packing, pii, quality, toxicity, url_filter,
+    exact_dedup, language_id, mixing, ngram_join, packing, pii, quality, toxicity, url_filter,
 )
 from ratesmith.sources.workspace import staged
 
@@ -89,12 +89,29 @@ def op7_exact_copies(spark, folder):
     return exact_dedup.exact_copies(documents(spark, folder))
 
 
+@query
+def op9_near_copies(spark, folder):
+    return ngram_join.near_copies(documents(spark, folder), words=3, percent=90)
+
+
 @query
 def op10_mix_sources(spark, folder):
     return mixing.mix_report(documents(spark, folder))
 
 
 CHECKS = {
+    "op9_near_copies": """
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+t AS (SELECT DISTINCT doc_id, CASE WHEN len(w) < 3 THEN array_to_string(w, ' ')
+  ELSE array_to_string(list_slice(w, i, i + 2), ' ') END AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 1, 2))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM t GROUP BY doc_id),
+k AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM t a JOIN t b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+l AS (SELECT x, y FROM k JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 90 * (a.n + b.n - c)),
+r AS (SELECT doc_id AS x, doc_id AS y FROM d UNION SELECT r.x, l.y FROM r JOIN l ON l.x = r.y)
+SELECT r.x AS doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.y) AS component_id
+FROM r LEFT JOIN n ON n.doc_id = r.x GROUP BY r.x""",
     "op6_temporal_lists": """
 WITH l AS (""" + LIST_ROWS.replace("{pages}", "pages") + """),
 d AS (SELECT DISTINCT * FROM l),
