@@ -5,8 +5,10 @@ order (T is the least overlap, percent of n), at least m tokens: lengthening a p
 tokens asks for m matches.
 
 1. Equal sets are one from here on (a representative and its members).
-2. A first prefix in hash order (m of a fiftieth of n): sets with fewer than m tokens that any
-   other first prefix holds link with nothing and go.
+2. A first prefix (m of a twentieth of n), n-grams of the rarest words first: sets with fewer
+   than m tokens that any other first prefix holds link with nothing and go. Word counts come from
+   all texts; the `ORDER_WORDS` most frequent ones order the tokens, all others count as rare. The
+   order decides the cost, never the result.
 3. For the rest, tokens are counted exactly and ordered by count, rarest first. A set with more
    than n - T tokens of its own goes. Every other set picks its m (powers of two) by the estimated
    cost of reading the posting lists of its prefix and of verifying the candidates left.
@@ -16,12 +18,13 @@ tokens asks for m matches.
 5. Inside a unit, pairs with min(m) shared prefix tokens that no earlier link connects are
    verified on their whole sets; a unit returns a forest, at most one link per set.
 
-Shingles are compared as 64-bit hashes. NULL and empty texts have no set and link with nothing;
+Shingles are compared as 63-bit numbers: 8 bits of rarity, 55 bits of hash. NULL and empty texts have no set and link with nothing;
 texts of fewer words than a shingle are one shingle. Repeated rows share a component.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,7 +36,8 @@ from ratesmith.llm.common import ROW, numbered, text_of
 from ratesmith.llm.components import components
 from ratesmith.sources.workspace import staged
 
-FIRST_SHARE = 50
+FIRST_SHARE = 20
+ORDER_WORDS = 4096
 UNIT_TOKENS = 1_000_000
 VERIFY_COST = 20.0
 MANY = 32
@@ -41,32 +45,66 @@ CACHED_WORDS = 300_000
 TEXT = "text_key"
 
 
-class Hashes(dict):
-    """64-bit hashes of words."""
+class Words(dict):
+    """Places of words in arrays of their hashes and of the logarithms of their counts."""
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHED_WORDS:
+    def __init__(self, counts: dict[bytes, int]):
+        super().__init__()
+        self.counts = counts
+        self.hashes, self.logs = np.zeros(0, np.uint64), np.zeros(0)
+
+    def make_room(self, words: int) -> None:
+        if len(self) + words > len(self.hashes):
             self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
+            room = max(CACHED_WORDS, words)
+            if room > len(self.hashes):
+                self.hashes, self.logs = np.zeros(room, np.uint64), np.zeros(room)
+
+    def __missing__(self, word: bytes) -> int:
+        place = self[word] = len(self)
+        self.hashes[place] = xxhash.xxh3_64_intdigest(word)
+        self.logs[place] = np.log2(1 + self.counts.get(word, 0))
+        return place
 
 
-def shingles(text: str, words: int, hashes: Hashes) -> np.ndarray:
-    """Sorted distinct hashes of a text's word n-grams."""
+def shingles(text: str, words: int, known: Words) -> np.ndarray:
+    """Sorted distinct word n-grams of a text, those of rare words first."""
     found = text.encode().lower().split()
     if not found:
         return np.zeros(0, np.int64)
     if len(found) < words:
-        return np.array([xxhash.xxh3_64_intdigest(b" ".join(found))], np.uint64).view(np.int64)
-    values = np.fromiter(map(hashes.__getitem__, found), np.uint64, len(found))
-    mixed = np.zeros(len(found) - words + 1, np.uint64)
+        return np.array([xxhash.xxh3_64_intdigest(b" ".join(found)) >> 9], np.int64)
+    known.make_room(len(found))
+    places = np.fromiter(map(known.__getitem__, found), np.int64, len(found))
+    values, logs = known.hashes[places], known.logs[places]
+    mixed, rarity = np.zeros(len(found) - words + 1, np.uint64), np.zeros(len(found) - words + 1)
     for place in range(words):
-        part = values[place:place + len(mixed)]
-        mixed = (mixed * np.uint64(0x9E3779B97F4A7C15)) ^ part
+        mixed = (mixed * np.uint64(0x9E3779B97F4A7C15)) ^ values[place:place + len(mixed)]
         mixed ^= mixed >> np.uint64(29)
         mixed *= np.uint64(0xBF58476D1CE4E5B9)
+        rarity += logs[place:place + len(mixed)]
     mixed ^= mixed >> np.uint64(32)
-    return np.unique(mixed.view(np.int64))
+    level = np.minimum(255, rarity * (255 / (40 * words))).astype(np.int64)
+    return np.unique(level << 55 | (mixed >> np.uint64(9)).astype(np.int64))
+
+
+def _often(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The most frequent words of each batch of texts."""
+    for batch in batches:
+        counts: Counter[bytes] = Counter()
+        for text in batch["text"].to_pylist():
+            counts.update(text.encode().lower().split())
+        top = counts.most_common(ORDER_WORDS)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([word for word, _ in top], pa.binary()), pa.array([n for _, n in top], pa.int64())],
+            names=["word", "n"])
+
+
+def frequent_words(texts: DataFrame) -> dict[bytes, int]:
+    counts = texts.select("text").mapInArrow(_often, "word binary, n long").groupBy("word").agg(
+        F.sum("n").alias("n"))
+    return {bytes(row.word): row.n for row in
+            counts.orderBy(F.col("n").desc(), "word").limit(ORDER_WORDS).collect()}
 
 
 def overlap(n: int, percent: int) -> int:
@@ -77,13 +115,13 @@ def first_matches(n: int) -> int:
     return -(-n // FIRST_SHARE)
 
 
-def _sets(words: int, percent: int):
+def _sets(words: int, percent: int, counts: dict[bytes, int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = Hashes()
+        known = Words(counts)
         for batch in batches:
             sizes, keys, probes = [], [], []
             for text in batch["text"].to_pylist():
-                tokens = shingles(text, words, hashes)
+                tokens = shingles(text, words, known)
                 n = len(tokens)
                 sizes.append(n)
                 keys.append(xxhash.xxh3_128_digest(tokens.tobytes()))
@@ -96,11 +134,11 @@ def _sets(words: int, percent: int):
     return run
 
 
-def _whole_sets(words: int):
+def _whole_sets(words: int, counts: dict[bytes, int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = Hashes()
+        known = Words(counts)
         for batch in batches:
-            sets = [shingles(text, words, hashes) for text in batch["text"].to_pylist()]
+            sets = [shingles(text, words, known) for text in batch["text"].to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch[TEXT], pa.array(map(len, sets), pa.int64()), pa.array(sets, pa.list_(pa.int64()))],
                 names=["rep", "n", "tokens"])
@@ -111,11 +149,11 @@ def _whole_sets(words: int):
 def _survivors(sets: DataFrame, percent: int) -> DataFrame:
     """Representatives whose first prefix shares enough tokens with others'."""
     reps = sets.where("rep = text_key AND first")
-    postings = reps.select("rep", "n", F.explode("probe").alias("token"))
+    postings = reps.select("rep", F.explode("probe").alias("token"))
     shared = postings.groupBy("token").agg(F.count("*").alias("df")).where("df > 1").select("token")
-    counts = postings.join(shared, "token").groupBy("rep", "n").agg(F.count("*").alias("matches"))
+    counts = postings.join(shared, "token").groupBy("rep").agg(F.count("*").alias("matches"))
     least = F.ceil(F.ceil(F.col("n") * percent / 100) / FIRST_SHARE)
-    return counts.where(F.col("matches") >= least).select("rep")
+    return counts.join(reps.select("rep", "n"), "rep").where(F.col("matches") >= least).select("rep")
 
 
 def _chosen_prefix(percent: int):
@@ -252,8 +290,9 @@ def near_components(documents: DataFrame, words: int, percent: int, unit_tokens:
     texts = documents.select(
         ROW, F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).withColumn(
         TEXT, F.xxhash64("text"))
+    counts = frequent_words(texts)
     first = staged(texts.mapInArrow(
-        _sets(words, percent),
+        _sets(words, percent, counts),
         f"{ROW} long, doc_id long, {TEXT} long, n long, set_key binary, probe array<long>"), "sets")
     groups = first.where("n > 0").groupBy("set_key").agg(
         F.min(TEXT).alias("rep"), F.min(F.struct(TEXT, ROW)).alias("first"))
@@ -263,7 +302,7 @@ def near_components(documents: DataFrame, words: int, percent: int, unit_tokens:
     alive = staged(_survivors(sets, percent), "survivors")
     whole = staged(
         texts.select(TEXT, "text").join(alive, F.col(TEXT) == F.col("rep"), "left_semi")
-        .dropDuplicates([TEXT]).mapInArrow(_whole_sets(words), "rep long, n long, tokens array<long>"),
+        .dropDuplicates([TEXT]).mapInArrow(_whole_sets(words, counts), "rep long, n long, tokens array<long>"),
         "whole_sets")
     postings = whole.select("rep", "n", F.explode("tokens").alias("token"))
     frequency = postings.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
