@@ -301,7 +301,8 @@ def near_components(documents: DataFrame, words: int, percent: int, unit_tokens:
     sets = first.join(chosen, ROW).withColumn("first", F.lit(True))
     alive = staged(_survivors(sets, percent), "survivors")
     whole = staged(
-        texts.select(TEXT, "text").join(alive, F.col(TEXT) == F.col("rep"), "left_semi")
+        # by merge at every size: the survivors grow with the documents
+        texts.select(TEXT, "text").join(alive.hint("merge"), F.col(TEXT) == F.col("rep"), "left_semi")
         .dropDuplicates([TEXT]).mapInArrow(_whole_sets(words, counts), "rep long, n long, tokens array<long>"),
         "whole_sets")
     postings = whole.select("rep", "n", F.explode("tokens").alias("token"))
