@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ratesmith.llm import (
-    exact_dedup, language_id, mixing, ngram_join, packing, pii, quality, toxicity, url_filter,
+    exact_dedup, language_id, mixing, ngram_join, packing, pii, quality, repeats, toxicity, url_filter,
 )
 from ratesmith.sources.workspace import staged
 
@@ -89,6 +89,11 @@ def op7_exact_copies(spark, folder):
     return exact_dedup.exact_copies(documents(spark, folder))
 
 
+@query
+def op8_repeated_passages(spark, folder):
+    return repeats.without_repeats(documents(spark, folder)).drop("kept", "spans")
+
+
 @query
 def op9_near_copies(spark, folder):
     return ngram_join.near_copies(documents(spark, folder), words=3, percent=90)
