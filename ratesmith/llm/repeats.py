@@ -212,8 +212,9 @@ def repeated_spans(texts: DataFrame, unit_bytes: int = UNIT_BYTES) -> DataFrame:
     """
     rows = staged(texts.mapInArrow(
         _fragment_rows, "key binary, low long, high long, anchor long, content long"), "fragments")
-    counts = rows.groupBy("anchor").agg(
-        F.count("*").alias("n"), (F.min("content") != F.max("content")).alias("mixed")).where("n > 1")
+    # written, so that both sides of the join are plain shuffles and a hot anchor can be split
+    counts = staged(rows.groupBy("anchor").agg(
+        F.count("*").alias("n"), (F.min("content") != F.max("content")).alias("mixed")).where("n > 1"), "anchors")
     shared = staged(rows.join(counts.select("anchor", "mixed"), "anchor"), "shared_fragments")
     whole = shared.where("NOT mixed").select("key", F.col("low").alias("start"), (F.col("high") + LENGTH).alias("end"))
     mixed = shared.where("mixed").drop("mixed")
@@ -232,8 +233,10 @@ def repeated_spans(texts: DataFrame, unit_bytes: int = UNIT_BYTES) -> DataFrame:
                 F.greatest("block", "other").alias("high_block"), "content", "data", "copies")
     )
     unit = ["anchor", "low_block", "high_block"]
+    size = data.agg(F.coalesce(F.sum(F.length("data")), F.lit(0))).first()[0]
+    tasks = 1 + size // INDEX_BYTES
     marks = staged(
-        units.repartition(*unit).sortWithinPartitions(*unit)
+        units.repartition(tasks, *unit).sortWithinPartitions(*unit)
         .mapInArrow(_marked, "anchor long, content long, first long, last long"), "marks")
     some = mixed.join(marks, ["anchor", "content"]).select(
         "key", (F.col("low") + F.col("first")).alias("start"),
