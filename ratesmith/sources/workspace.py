@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 WAREHOUSE_SETTING = "spark.sql.warehouse.dir"
 _cleared_on_exit: set[str] = set()
+_scopes: list[list[str]] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -41,4 +43,26 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """The same rows read back from a written table: cut lineage that survives lost executors."""
     path = new_path(df.sparkSession, name)
     df.write.mode("error").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    for paths in _scopes:
+        paths.append(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.staged_path = path
+    return table
+
+
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Remove staged tables that nothing reads any more."""
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@contextmanager
+def noted():
+    """Collects the paths of all tables staged inside."""
+    paths: list[str] = []
+    _scopes.append(paths)
+    try:
+        yield paths
+    finally:
+        _scopes.remove(paths)
