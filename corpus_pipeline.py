@@ -1,12 +1,18 @@
-"""The corpus pipeline: quality rules, exact copies, near copies, mixing, packing."""
+"""The corpus pipeline: quality rules, exact copies, near copies, mixing, packing.
+
+A stage's result is written before the next stage starts; the tables that a stage staged for itself
+are removed when the next one is called.
+"""
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ratesmith.llm import common, exact_dedup, mixing, ngram_join, quality
 from ratesmith.llm.queries import packed_pieces
-from ratesmith.sources.workspace import staged
+from ratesmith.sources.workspace import discard, noted, staged
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,12 +48,27 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packed_pieces(docs)
 
 
+_staged_before: list[str] = []
+
+
+def _stage(function):
+    @wraps(function)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        discard(spark, *_staged_before)
+        with noted() as paths:
+            result = function(spark, docs, sf_dir)
+        _staged_before[:] = paths
+        return result
+
+    return run_stage
+
+
 STAGES = [
-    ("quality_rules", quality_rules),
-    ("exact_dedup", exact_copies),
-    ("near_copies", near_copies),
-    ("mix_sources", mix_sources),
-    ("packing", pack),
+    ("quality_rules", _stage(quality_rules)),
+    ("exact_dedup", _stage(exact_copies)),
+    ("near_copies", _stage(near_copies)),
+    ("mix_sources", _stage(mix_sources)),
+    ("packing", _stage(pack)),
 ]
 
 # the tokenizer is beyond SQL; tests/llm holds the stages against a plain version

@@ -5,7 +5,7 @@ order (T is the least overlap, percent of n), at least m tokens: lengthening a p
 tokens asks for m matches.
 
 1. Equal sets are one from here on (a representative and its members).
-2. A first prefix (m of a twentieth of n), n-grams of the rarest words first: sets with fewer
+2. A first prefix (m of a thirtieth of n), n-grams of the rarest words first: sets with fewer
    than m tokens that any other first prefix holds link with nothing and go. Word counts come from
    all texts; the `ORDER_WORDS` most frequent ones order the tokens, all others count as rare. The
    order decides the cost, never the result.
@@ -34,9 +34,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from ratesmith.llm.common import ROW, numbered, text_of
 from ratesmith.llm.components import components
-from ratesmith.sources.workspace import staged
+from ratesmith.sources.workspace import discard, staged
 
-FIRST_SHARE = 20
+FIRST_SHARE = 30
 ORDER_WORDS = 4096
 UNIT_TOKENS = 1_000_000
 VERIFY_COST = 20.0
@@ -146,14 +146,18 @@ def _whole_sets(words: int, counts: dict[bytes, int]):
     return run
 
 
-def _survivors(sets: DataFrame, percent: int) -> DataFrame:
-    """Representatives whose first prefix shares enough tokens with others'."""
-    reps = sets.where("rep = text_key AND first")
-    postings = reps.select("rep", F.explode("probe").alias("token"))
-    shared = postings.groupBy("token").agg(F.count("*").alias("df")).where("df > 1").select("token")
-    counts = postings.join(shared, "token").groupBy("rep").agg(F.count("*").alias("matches"))
+def _survivors(sets: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
+    """Representatives whose first prefix shares enough tokens with other sets'.
+
+    Copies of a set post the same tokens; a token is shared if different sets post it, and a
+    set's matches are counted over its copies.
+    """
+    postings = sets.select("set_id", F.explode("probe").alias("token"))
+    shared = postings.groupBy("token").agg(
+        F.min("set_id").alias("low"), F.max("set_id").alias("high")).where("low < high").select("token")
+    counts = postings.join(shared, "token").groupBy("set_id").agg(F.count("*").alias("matches"))
     least = F.ceil(F.ceil(F.col("n") * percent / 100) / FIRST_SHARE)
-    return counts.join(reps.select("rep", "n"), "rep").where(F.col("matches") >= least).select("rep")
+    return counts.join(groups, "set_id").where(F.col("matches") >= least * F.col("copies")).select("rep")
 
 
 def _chosen_prefix(percent: int):
@@ -294,12 +298,14 @@ def near_components(documents: DataFrame, words: int, percent: int, unit_tokens:
     first = staged(texts.mapInArrow(
         _sets(words, percent, counts),
         f"{ROW} long, doc_id long, {TEXT} long, n long, set_key binary, probe array<long>"), "sets")
-    groups = first.where("n > 0").groupBy("set_key").agg(
-        F.min(TEXT).alias("rep"), F.min(F.struct(TEXT, ROW)).alias("first"))
-    members = first.drop("probe").join(groups, "set_key", "left")
-    chosen = staged(groups.select("rep", F.col(f"first.{ROW}").alias(ROW)), "representatives")
-    sets = first.join(chosen, ROW).withColumn("first", F.lit(True))
-    alive = staged(_survivors(sets, percent), "survivors")
+    sets_path = first.staged_path
+    first = first.withColumn("set_id", F.xxhash64("set_key"))
+    groups = staged(first.where("n > 0").groupBy("set_id").agg(
+        F.min(TEXT).alias("rep"), F.max("n").alias("n"), F.count("*").alias("copies")), "groups")
+    members = staged(first.select(ROW, "doc_id", "n", "set_id").join(
+        groups.select("set_id", "rep"), "set_id", "left").drop("set_id"), "set_members")
+    alive = staged(_survivors(first, groups, percent), "survivors")
+    discard(first.sparkSession, sets_path)
     whole = staged(
         # by merge at every size: the survivors grow with the documents
         texts.select(TEXT, "text").join(alive.hint("merge"), F.col(TEXT) == F.col("rep"), "left_semi")
@@ -316,7 +322,7 @@ def near_components(documents: DataFrame, words: int, percent: int, unit_tokens:
     clusters = staged(_clusters(ordered, percent), "clusters")
     links = staged(_links(ordered, clusters, percent, unit_tokens), "links")
     joined = components(links).withColumnRenamed("node", "rep")
-    placed = staged(members.select(ROW, "doc_id", "n", "rep").join(joined, "rep", "left").select(
+    placed = staged(members.join(joined, "rep", "left").select(
         ROW, "doc_id", "n", F.coalesce("component", "rep").alias("component")), "members")
     names = placed.where("n > 0").groupBy("component").agg(F.min("doc_id").alias("component_id"))
     return placed.join(names, "component", "left").select(
