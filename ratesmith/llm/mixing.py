@@ -140,7 +140,8 @@ def mixture(documents: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     sources = staged(targets(rows), "targets")
     total = sources.agg(F.coalesce(F.sum("slots"), F.lit(0))).first()[0]
     slots, parts = draws(sources, total), pieces(rows)
-    drawn = slots.join(parts, _same(slots, parts, "source", "block")).select(
+    # by merge: planning takes the generated slots for a few rows and would broadcast them
+    drawn = slots.hint("merge").join(parts, _same(slots, parts, "source", "block")).select(
         "shard", slots["source"], "slot", slots["block"], ROW, "first_word", "words")
     return rows, sources, drawn
 
