@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ratesmith.operators.publish import PUBLICATION_COLUMNS, replace_by_key
 
@@ -69,16 +70,21 @@ def exists(spark: SparkSession, target: str) -> bool:
 def update_published(batch: DataFrame, target: str) -> None:
     """Replace the batch's keys in a published table.
 
-    Only the folders of the batch's dates are rewritten and only those of its date range are
-    read, whatever the table's history; the new folders are complete before they replace the old
-    ones. The batch is read several times, so it should be a written table.
+    Only the folders of the batch's dates, NULL among them, are read and rewritten, whatever the
+    table's history; the new folders are complete before they replace the old ones. The batch is
+    read several times, so it should be a written table. An empty batch changes nothing.
     """
     existing = read_published(batch.sparkSession, target)
-    first, last = batch.agg(F.min(DATE_COLUMN), F.max(DATE_COLUMN)).first()
-    if first is None:
+    first, last, nulls = batch.agg(
+        F.min(DATE_COLUMN), F.max(DATE_COLUMN), F.count_if(F.col(DATE_COLUMN).isNull())).first()
+    if first is None and not nulls:
         return
-    in_range = existing.where(F.col(DATE_COLUMN).between(F.lit(first), F.lit(last)))
-    touched = in_range.join(batch.select(DATE_COLUMN).distinct(), DATE_COLUMN, "left_semi")
+    in_range = F.col(DATE_COLUMN).between(F.lit(first).cast("date"), F.lit(last).cast("date"))
+    if nulls:
+        in_range = F.coalesce(in_range, F.lit(False)) | F.col(DATE_COLUMN).isNull()
+    candidates, dates = existing.where(in_range), batch.select(F.col(DATE_COLUMN).alias("batch_date")).distinct()
+    touched = candidates.join(
+        dates, candidates[DATE_COLUMN].eqNullSafe(dates["batch_date"]), "left_semi")
     columns = [name for name in existing.columns if name != DATE_COLUMN] + [DATE_COLUMN]
     updated = replace_by_key(touched, batch).select(*columns)
     (
@@ -115,6 +121,11 @@ def route(landing: DataFrame, target: str, column: str = "DATA_REFERENCE_IDENTIF
 def read_routed(
     spark: SparkSession, target: str, indicator: str, column: str = "DATA_REFERENCE_IDENTIFIER"
 ) -> DataFrame:
-    """One indicator's rows; the other indicators' folders are not read."""
-    return spark.read.parquet(target).where(F.col(column) == indicator)
+    """One indicator's rows; the other indicators' folders are not read.
+
+    The folder column is text: without a type, numbers in folder names would lose their zeros.
+    """
+    found = spark.read.parquet(target).schema
+    fields = [StructField(f.name, StringType()) if f.name == column else f for f in found.fields]
+    return spark.read.schema(StructType(fields)).parquet(target).where(F.col(column) == indicator)
 

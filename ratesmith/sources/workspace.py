@@ -42,7 +42,7 @@ def new_path(spark: SparkSession, name: str) -> str:
 def staged(df: DataFrame, name: str) -> DataFrame:
     """The same rows read back from a written table: cut lineage that survives lost executors."""
     path = new_path(df.sparkSession, name)
-    df.write.mode("error").parquet(path)
+    df.write.mode("error").option("compression", "zstd").parquet(path)
     for paths in _scopes:
         paths.append(path)
     table = df.sparkSession.read.schema(df.schema).parquet(path)

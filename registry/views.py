@@ -62,8 +62,8 @@ UNION ALL SELECT PRACTICE_CODE, SEX, AGE_FROM, CAST('1999-12-01' AS DATE), val +
     "fx_published": """
 WITH m AS (SELECT gp_code, last_day(appt_date) AS d, SUM(appt_count) AS den,
   SUM(CASE WHEN time_between_booking_and_appt IN ('Same Day','1 Day','2 to 7 Days','8 to 14 Days') THEN appt_count ELSE 0 END) AS num
- FROM {fx_appointments} WHERE appt_date BETWEEN DATE '2000-04-01' AND DATE '2001-03-31' GROUP BY 1,2),
-c AS (SELECT gp_code, d, SUM(den) OVER (PARTITION BY gp_code ORDER BY d) AS cden, SUM(num) OVER (PARTITION BY gp_code ORDER BY d) AS cnum FROM m)
+ FROM {fx_appointments} GROUP BY 1,2),
+c AS (SELECT gp_code, d, SUM(den) OVER (PARTITION BY gp_code, year(d) - CASE WHEN month(d) < 4 THEN 1 ELSE 0 END ORDER BY d) AS cden, SUM(num) OVER (PARTITION BY gp_code, year(d) - CASE WHEN month(d) < 4 THEN 1 ELSE 0 END ORDER BY d) AS cnum FROM m)
 SELECT gp_code AS ORG_ID, d AS ACHIEVEMENT_DATE, '283A5FDD-D4BA-4DF7-AC70-B59C83285D3E' AS DATA_REFERENCE_IDENTIFIER,
  'FB4D2185-044E-44A4-9C11-02A0A4034A02' AS ATTRIBUTE_IDENTIFIER, CAST(CAST(cden AS BIGINT) AS VARCHAR(20)) AS ATTRIBUTE_VALUE, 'int' AS ATTRIBUTE_TYPE FROM c
 UNION ALL
