@@ -9,7 +9,10 @@ place in the task, and the bucket (power of two) in the lowest four bits.
 
 from __future__ import annotations
 
+import base64
+import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +21,7 @@ from pyspark.sql import DataFrame, functions as F
 
 SEQUENCE = 2048
 END_ID = 1
-CACHED_CHUNKS = 150_000
+LATIN = re.compile("[\x00-\u024f]*").fullmatch
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
@@ -33,53 +36,53 @@ def pieces_of(tokens: int, sequence: int = SEQUENCE) -> list[tuple[int, int]]:
     return pieces
 
 
-class Chunks(dict):
-    """Ids, as bytes, of chunks of text; each chunk is tokenised once while it is kept."""
+class Encoder:
+    """Ids of a text, as little-endian unsigned 32-bit numbers.
 
-    def __init__(self, path: str):
+    Texts of Latin characters (below U+0250), where both libraries split alike, go through the same
+    vocabulary as ranks, which is several times faster; all other texts through the tokenizer file.
+    """
+
+    def __init__(self, tokenizer: str, ranks: str | None, pattern: str | None):
         from tokenizers import Tokenizer
 
-        super().__init__()
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer = Tokenizer.from_file(tokenizer)
         self.tokenizer.encode_special_tokens = True
+        self.fast = ranks and ranked_vocabulary(ranks, pattern)
 
-    def __missing__(self, chunk: str) -> bytes:
-        ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
-        data = np.array(ids, "<u4").tobytes()
-        if len(chunk) <= 40:
-            if len(self) >= CACHED_CHUNKS:
-                self.clear()
-            self[chunk] = data
-        return data
+    def ids(self, text: str) -> bytes:
+        if self.fast and LATIN(text):
+            return self.fast.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes()
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
-def chunks_of(text: str) -> list[str]:
-    """Parts of a text that the tokenizer treats apart.
+def ranked_vocabulary(path: str, pattern: str):
+    """A vocabulary file of one token (base 64) and its id per line, without special tokens."""
+    import tiktoken
 
-    Its pattern always starts a new token before a space that a visible character follows, so
-    the text may be cut there. A part that does not begin visibly stays with the one before it.
-    """
-    parts = text.split(" ")
-    chunks = [parts[0]]
-    for part in parts[1:]:
-        if part and ("!" <= part[0] <= "~" or part[0].isalpha()):
-            chunks.append(" " + part)
-        else:
-            chunks[-1] += " " + part
-    return chunks
+    with open(path, "rb") as lines:
+        ranks = {base64.b64decode(token): int(number) for token, number in map(bytes.split, lines)}
+    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+
+
+@lru_cache(maxsize=2)
+def encoder(tokenizer: str, ranks: str | None, pattern: str | None) -> Encoder:
+    """Read once per Python worker."""
+    return Encoder(tokenizer, ranks, pattern)
 
 
-def _packed(path: str, sequence: int):
+def _packed(tokenizer: str, ranks: str | None, pattern: str | None, sequence: int):
     end = np.array([END_ID], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunks, task, count = Chunks(path), TaskContext.get().partitionId(), 0
+        ids_of = encoder(tokenizer, ranks, pattern).ids
+        task, count = TaskContext.get().partitionId(), 0
         for batch in batches:
             for first in range(0, batch.num_rows, 500):
                 rows = []
                 part = batch.slice(first, 500)
                 for doc_id, text in zip(part["doc_id"].to_pylist(), part["text"].to_pylist()):
-                    ids = b"".join(map(chunks.__getitem__, chunks_of(text))) + end if text else end
+                    ids = ids_of(text) + end if text else end
                     for start, length in pieces_of(len(ids) // 4, sequence):
                         name = (task << 40 | count) << 4 | length.bit_length() - 1
                         rows.append((doc_id, start, length, ids[4 * start:4 * (start + length)],
@@ -94,13 +97,18 @@ def _packed(path: str, sequence: int):
     return run
 
 
-def pack(docs: DataFrame, tokenizer: str, sequence: int = SEQUENCE) -> DataFrame:
+def pack(
+    docs: DataFrame, tokenizer: str, ranks: str | None = None, pattern: str | None = None,
+    sequence: int = SEQUENCE,
+) -> DataFrame:
     """One row per piece, `ids` as little-endian unsigned 32-bit numbers.
 
-    `sequence` is a power of two up to 32768; `tokenizer` is a file every executor has.
+    `sequence` is a power of two up to 32768; `tokenizer` is a file every executor has, `ranks` the
+    same vocabulary as ranks with its splitting `pattern`. Without ranks all texts are encoded by
+    the tokenizer file, with the same result.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(_packed(tokenizer, sequence), SCHEMA)
+    return rows.mapInArrow(_packed(tokenizer, ranks, pattern, sequence), SCHEMA)
 
 
 def write_buckets(pieces: DataFrame, path: str) -> None:

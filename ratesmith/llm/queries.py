@@ -35,7 +35,10 @@ def op1_language_ppm(spark, folder):
 
 
 def packed_pieces(docs: DataFrame) -> DataFrame:
-    pieces = packing.pack(docs, tokenizer_path())
+    import public_tokenizers
+
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    pieces = packing.pack(docs, tokenizer_path(), ranks, public_tokenizers.PATTERN)
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 

@@ -45,6 +45,16 @@ def test_packing_holds_every_id_once(spark, plain_ids):
         assert at == len(ids)
 
 
+def test_both_vocabularies_give_the_same_ids(plain_ids):
+    import public_tokenizers
+
+    encoder = packing.Encoder(
+        tokenizer_path(), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    for ch in map(chr, range(0x24F + 2)):
+        for text in (ch, f"a{ch}", f" {ch}a", f"  {ch} b", f"{ch}1{ch}", ch * 3 + " ", f".{ch}\n{ch}", f"it{ch}'s{ch}'ll"):
+            assert encoder.ids(text) == np.array(plain_ids(text)[:-1], "<u4").tobytes()
+
+
 def test_pieces_are_the_binary_digits():
     assert packing.pieces_of(2048 * 2 + 5) == [(0, 2048), (2048, 2048), (4096, 4), (4100, 1)]
     assert packing.pieces_of(1) == [(0, 1)]
