@@ -33,7 +33,10 @@ FLU_PNEUMONIA_CODES = [
 ]
 SICKLE_CELL = ["D57"]
 CELLULITIS_CODES = ["L03", "L04", "L88", "L080", "L088", "L089", "L980"]
-SKIN_PROCEDURES_1 = list("ABCDEFGHIJKLMNOPQRTVW")
+SKIN_PROCEDURES_1 = [
+    "A", "B", "C", "D", "E", "F", "G", "H", "I", "J", "K", "L", "M", "N", "O", "P", "Q", "R", "T",
+    "V", "W",
+]
 SKIN_PROCEDURES_2 = ["S1", "S2", "S3", "X0", "X1", "X2", "X4", "X5"]
 SKIN_PROCEDURES_3 = ["S41", "S42", "S43", "S44", "S45", "S47", "S48", "S49"]
 

@@ -1,17 +1,19 @@
 """Rule-driven selection of event cohorts.
 
-A rule is plain data made of the small vocabulary below and reads as one SQL predicate. All
+A rule is plain data made of the small vocabulary below and reads as one predicate. All
 rules of a cohort become one disjunction, so the episodes are scanned once: a row belongs to the
 union of the rules' rows exactly if the disjunction is true, also where some rules are NULL.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import date
+from functools import reduce
+from operator import and_, or_
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ratesmith import constants as c
 from ratesmith.functions.bands import age_text
@@ -20,10 +22,6 @@ from ratesmith.functions.values import code_set, sex_name
 from ratesmith.operators.filters import drop_listed, keep_between, keep_listed, keep_period
 
 
-def _quoted(codes: Sequence[str]) -> str:
-    return ", ".join("'" + code.replace("'", "''") + "'" for code in codes)
-
-
 @dataclass(frozen=True)
 class Listed:
     """The value of any of the columns, or its first `length` characters, is in the list."""
@@ -32,12 +30,12 @@ class Listed:
     codes: tuple[str, ...]
     length: int | None = None
 
-    def predicate(self) -> str:
-        parts = [
-            f"`{name}`" if self.length is None else f"substr(`{name}`, 1, {self.length})"
+    def predicate(self) -> Column:
+        values = [
+            F.col(name) if self.length is None else F.substring(name, 1, self.length)
             for name in self.columns
         ]
-        return " OR ".join(f"{part} IN ({_quoted(self.codes)})" for part in parts)
+        return reduce(or_, [value.isin(list(self.codes)) for value in values])
 
 
 @dataclass(frozen=True)
@@ -47,32 +45,32 @@ class Overlaps:
     array: str
     codes: tuple[str, ...]
 
-    def predicate(self) -> str:
-        return f"arrays_overlap(`{self.array}`, array({_quoted(self.codes)}))"
+    def predicate(self) -> Column:
+        return F.arrays_overlap(self.array, F.array(*map(F.lit, self.codes)))
 
 
 @dataclass(frozen=True)
 class Every:
     parts: tuple
 
-    def predicate(self) -> str:
-        return " AND ".join(f"({part.predicate()})" for part in self.parts)
+    def predicate(self) -> Column:
+        return reduce(and_, [part.predicate() for part in self.parts])
 
 
 @dataclass(frozen=True)
 class Some:
     parts: tuple
 
-    def predicate(self) -> str:
-        return " OR ".join(f"({part.predicate()})" for part in self.parts)
+    def predicate(self) -> Column:
+        return reduce(or_, [part.predicate() for part in self.parts])
 
 
 @dataclass(frozen=True)
 class Without:
     part: object
 
-    def predicate(self) -> str:
-        return f"NOT ({self.part.predicate()})"
+    def predicate(self) -> Column:
+        return ~self.part.predicate()
 
 
 MAIN_DIAGNOSIS = ("DIAG_3_01", "DIAG_4_01")

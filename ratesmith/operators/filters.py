@@ -2,19 +2,33 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from datetime import date
+from decimal import Decimal, InvalidOperation
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ratesmith.functions.period import as_date
 
 
+def _number(value) -> Decimal | None:
+    """Any spelling of a finite number, or None."""
+    try:
+        number = Decimal(str(value).strip())
+    except InvalidOperation:
+        return None
+    return number if number.is_finite() else None
+
+
 def _literals(values: Sequence, dtype: T.DataType) -> list:
-    """Values as literals of the column's own type, so the filter reaches the scan uncast."""
+    """Values as literals of the column's own type, so the filter reaches the scan uncast.
+
+    A fraction or a code with letters equals no whole number and is left out for integer columns.
+    """
     if isinstance(dtype, T.IntegralType):
-        texts = [str(value) for value in values]
-        return [int(text) for text in texts if text.lstrip("-").isdigit()]
+        numbers = [_number(value) for value in values]
+        return [int(n) for n in numbers if n is not None and n == int(n)]
     if isinstance(dtype, T.FractionalType):
         return [float(value) for value in values]
     return [str(value) for value in values]
@@ -37,7 +51,14 @@ def keep_between(df: DataFrame, column: str, limits: Sequence) -> DataFrame:
     """Rows within inclusive limits; NaN counts as larger than every number."""
     if len(limits) != 2:
         raise ValueError("limits must be a lower and an upper bound")
-    low, high = _literals(limits, df.schema[column].dataType)
+    dtype = df.schema[column].dataType
+    if isinstance(dtype, T.IntegralType):
+        numbers = [_number(limit) for limit in limits]
+        if None in numbers:
+            raise ValueError(f"limits of an integer column must be numbers: {limits!r}")
+        low, high = math.ceil(numbers[0]), math.floor(numbers[1])
+    else:
+        low, high = _literals(limits, dtype)
     return df.where(F.col(column).between(low, high))
 
 

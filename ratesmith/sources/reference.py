@@ -9,16 +9,18 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ratesmith import constants as c
 
 
-
 def inline_table(
     spark: SparkSession, columns: Sequence[str], rows: Iterable[Sequence[str]]
 ) -> DataFrame:
     """A few rows of text as a relation whose size the optimiser knows."""
-    literals = ["'" + "', '".join(v.replace("'", "''") for v in row) + "'" for row in rows]
-    if not literals:
+    values = [list(row) for row in rows]
+    if not values:
         return spark.createDataFrame([], ", ".join(f"{name} string" for name in columns))
-    body = ", ".join(f"({literal})" for literal in literals)
-    return spark.sql(f"SELECT * FROM VALUES {body} AS rows({', '.join(columns)})")
+    texts = {f"t{r}_{i}": text for r, row in enumerate(values) for i, text in enumerate(row)}
+    body = ", ".join(
+        "(" + ", ".join(f":t{r}_{i}" for i in range(len(columns))) + ")" for r in range(len(values))
+    )
+    return spark.sql(f"SELECT * FROM VALUES {body} AS rows({', '.join(columns)})", args=texts)
 
 
 def attribute_mapping(spark: SparkSession) -> DataFrame:

@@ -23,20 +23,42 @@ BAND_LIST = (
 )
 
 _PRIMARY = "(DIAG_3_01 IN ({0}) OR DIAG_4_01 IN ({0}))"
-_NO_CARDIAC = "NOT regexp_full_match(OPERTN_3_01, 'K([0-4][0-9]|5[02567]|6[016789]|71)')"
+# Fixed code lists.
+_CARDIAC = (
+    "'K00','K01','K02','K03','K04','K05','K06','K07','K08','K09','K10','K11',"
+    "'K12','K13','K14','K15','K16','K17','K18','K19','K20','K21','K22','K23',"
+    "'K24','K25','K26','K27','K28','K29','K30','K31','K32','K33','K34','K35',"
+    "'K36','K37','K38','K39','K40','K41','K42','K43','K44','K45','K46','K47',"
+    "'K48','K49','K50','K52','K55','K56','K57','K60','K61','K66','K67','K68',"
+    "'K69','K71'"
+)
+_DIABETES = (
+    "'E100','E101','E102','E103','E104','E105','E106','E107','E108',"
+    "'E110','E111','E112','E113','E114','E115','E116','E117','E118',"
+    "'E120','E121','E122','E123','E124','E125','E126','E127','E128',"
+    "'E130','E131','E132','E133','E134','E135','E136','E137','E138',"
+    "'E140','E141','E142','E143','E144','E145','E146','E147','E148'"
+)
+_SKIN_1 = "'A','B','C','D','E','F','G','H','I','J','K','L','M','N','O','P','Q','R','T','V','W'"
+_SKIN_2 = "'S1','S2','S3','X0','X1','X2','X4','X5'"
+_SKIN_3 = "'S41','S42','S43','S44','S45','S47','S48','S49'"
+_COPD = "'J41','J42','J43','J44','J47'"
+
+_NO_CARDIAC = f"OPERTN_3_01 NOT IN ({_CARDIAC})"
 RULES = {
     "no_exclusions_group": _PRIMARY.format(
         "'J45','J46','H66','H67','J02','J03','J06','J312','N10','N11','N12','N136','G40','G41','R56','O15'"
-    ) + " OR regexp_matches(',' || DIAG_4_CONCAT || ',', ',E1[0-4][0-8],')",
+    ) + f" OR list_has_any(string_split(DIAG_4_CONCAT, ','), [{_DIABETES}])",
     "cellulitis": _PRIMARY.format("'L03','L04','L88','L080','L088','L089','L980'")
-    + " AND NOT regexp_matches(OPERTN_3_01, '^([A-RTVW]|S[123]|X[01245]|S4[1-57-9])')",
+    + f" AND substr(OPERTN_3_01, 1, 1) NOT IN ({_SKIN_1})"
+    f" AND substr(OPERTN_3_01, 1, 2) NOT IN ({_SKIN_2}) AND OPERTN_3_01 NOT IN ({_SKIN_3})",
     "influenza_pneumonia": _PRIMARY.format(
         "'J10','J11','J13','J14','J153','J154','J157','J159','J168','J181','J188'"
     ) + " AND ',' || DIAG_3_CONCAT || ',' NOT LIKE '%,D57,%'",
     "hypertension": _PRIMARY.format("'I10','I119'") + " AND " + _NO_CARDIAC,
     "congestive_heart_failure": _PRIMARY.format("'I50','J81','I110'") + " AND " + _NO_CARDIAC,
-    "copd": "DIAG_3_01 IN ('J41','J42','J43','J44','J47') OR (DIAG_3_01 = 'J20' AND "
-    "regexp_matches(',' || DIAG_3_CONCAT || ',', ',J4[12347],'))",
+    "copd": f"DIAG_3_01 IN ({_COPD}) OR (DIAG_3_01 = 'J20' AND "
+    f"list_has_any(string_split(DIAG_3_CONCAT, ','), [{_COPD}]))",
 }
 
 

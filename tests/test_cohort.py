@@ -3,6 +3,7 @@ from datetime import date
 import pytest
 
 from ratesmith.operators import cohort, filters
+from ratesmith.sources import reference
 
 RULES = cohort.CONDITION_RULES
 
@@ -162,3 +163,21 @@ def test_disjunction_equals_union_of_rules(spark, rows):
     assert rows(found.drop("RPSD", "RPED", "RP_month_start")) == rows(united.distinct())
     assert rows(found, "EPIKEY") == [(1,), (3,), (5,)]
     assert found.first().RP_month_start == date(2000, 12, 1)
+
+
+def test_odd_characters_in_rules_and_relations(spark):
+    odd = ["a\\nb", "it's", 'q"`', "?", "${x}"]
+    df = spark.createDataFrame([(v, [v]) for v in odd] + [("a\nb", ["a\nb"])], "code string, codes array<string>")
+    assert df.where(cohort.Listed(("code",), tuple(odd)).predicate()).count() == len(odd)
+    assert df.where(cohort.Overlaps("codes", tuple(odd)).predicate()).count() == len(odd)
+    table = reference.inline_table(spark, ["place", "code"], [[str(i), v] for i, v in enumerate(odd)])
+    assert {(r.place, r.code) for r in table.collect()} == {(str(i), v) for i, v in enumerate(odd)}
+
+
+def test_every_list_entry_counts(spark):
+    df = spark.range(6)
+    assert [r.id for r in filters.keep_listed(df, "id", ["+5", "1.0", " 2", "03", "0.5"]).orderBy("id").collect()] == [1, 2, 3, 5]
+    assert [r.id for r in filters.keep_between(df, "id", ["0.5", "3"]).orderBy("id").collect()] == [1, 2, 3]
+    assert filters.drop_listed(df, "id", ["x", "01"]).count() == 5
+    with pytest.raises(ValueError):
+        filters.keep_between(df, "id", ["x", "3"])
