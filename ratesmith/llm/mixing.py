@@ -58,7 +58,8 @@ def targets(rows: DataFrame) -> DataFrame:
     )
     levelled = weighed.withColumn("level", level).withColumn(
         "open", F.col("most") / F.col("weight") >= F.col("level"))
-    shared = F.min(F.when(F.col("open"), F.col("level"))).over(everything)
+    # the level of the first open source; those after it are lower, as open limits lie above it
+    shared = F.max(F.when(F.col("open"), F.col("level"))).over(everything)
     target = F.when(F.col("open"), F.least("most", F.col("weight") * shared)).otherwise(F.col("most"))
     blocks = F.ceil(F.col("source_size") / BLOCK_WORDS)
     passes = F.floor(F.col("target") / F.col("source_size"))

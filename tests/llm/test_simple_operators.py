@@ -74,6 +74,15 @@ def plain_targets(sizes: dict) -> dict:
         fixed |= {s: 2 * sizes[s] for s in above}
 
 
+@pytest.mark.parametrize("sizes", [
+    {"a": 1000, "b": 1000, "c": 1000, "d": 1000}, {"a": 9000, "b": 300, "c": 20, None: 4000},
+    {"a": 10, "b": 9000, "c": 9000, "d": 9000, "e": 9000}, {"a": 0, "b": 5}, {None: 7}])
+def test_targets_by_levels(spark, sizes):
+    rows = spark.createDataFrame(list(sizes.items()), "source string, size long")
+    found = {row.source: row.target for row in mixing.targets(rows).collect()}
+    assert found == pytest.approx(plain_targets(sizes))
+
+
 def test_mixture_meets_its_targets(spark):
     docs = spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text", "source")
     more = spark.createDataFrame(
