@@ -2,14 +2,18 @@
 
 Generators propose spans: the four base patterns and wider ones (written-out mail addresses,
 colon-separated addresses, digit groups in other shapes). Base spans that pass their check
-(octets, Luhn, digits) always stay. Boosted trees over the format of a candidate and the text
-around it learn the checked base spans from a bounded, documented sample (`SAMPLE` candidates, by
-a hash); for each kind the threshold is the lowest score at which at least `PRECISION` of the
-candidates of the calibration half are checked spans. Other candidates at or above it are added
-unless they overlap a base span or a higher score. The features leave out what the checks test.
-
-n_email, n_ip, n_card and n_phone count the base spans. NULL texts are empty. Without candidates
-of both kinds (checked, unchecked) there are no trees and no added spans.
+(octets, Luhn, digits) always stay. A wider candidate that overlaps one of them, or that is a base
+match again, is dropped before anything is learnt; the others are labelled by evidence of their
+own: the address they spell, the prefix of an IPv6 address, Luhn, the words before a phone number.
+Boosted trees over the format of a candidate, written plainly, and the text around it learn these
+labels from a bounded, documented sample (`SAMPLE` candidates, by a hash); for each kind the
+threshold is the lowest score at which at least `PRECISION` of the calibration half's candidates
+with evidence are right, where those without tell how many have it by luck (`LUCK` of all
+look-alikes: Luhn exactly, taken for the others too). Wider candidates with evidence at or above it are added unless they overlap a
+higher score. Candidates without evidence are never added.
+
+n_email, n_ip, n_card and n_phone count the base spans. NULL texts are empty. Where the sample has
+one label only all scores are 1; a kind without candidates in the calibration half adds no spans.
 """
 
 from __future__ import annotations
@@ -31,14 +35,25 @@ BASE = {
     "card": r"[0-9]([\x20-]?[0-9])+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
+# An address with spaces around plain dots is tried last, or the next sentence would belong to it.
 WIDER = {
-    "email": r"[A-Za-z0-9._%+-]{1,64} ?(?:\[at\]|\(at\)|@) ?[A-Za-z0-9-]{1,63}(?: ?(?:\[dot\]|\(dot\)|\.) ?[A-Za-z0-9-]{2,63}){1,4}",
-    "ip": r"(?<![0-9A-Fa-f:])[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){7}(?![0-9A-Fa-f:])",
+    "email": r"[A-Za-z0-9._%+-]{1,64} ?(?:\[at\]|\(at\)|@) ?[A-Za-z0-9-]{1,63}"
+             r"(?:(?:(?: ?(?:\[dot\]|\(dot\)) ?|\.)[A-Za-z0-9-]{2,63}){1,4}|(?: ?\. ?[A-Za-z0-9-]{2,63}){1,4})",
+    "ip": r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){7}"
+          r"|(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6})(?![0-9A-Fa-f:])",
     "card": r"(?<![0-9])[0-9]{4}(?:[ ._/-]{1,2}[0-9]{4}){3}(?![0-9])",
     "phone": r"(?<![0-9])(?:\([0-9]{2,4}\) ?|[0-9]{2,4}[ ./-])[0-9]{3,4}[ ./-][0-9]{3,4}(?![0-9])",
 }
+# What the evidence of wider candidates reads.
+ADDRESS = r"^[A-Za-z0-9](?:[A-Za-z0-9._%+-]*[A-Za-z0-9])?@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}$"
+SPACED_DOT = r" \.|\. "
+MAIL_WORDS = r"(?i)(mail|write|contact)[^A-Za-z]*[a-z]{0,3}[: ]*$"
+IPV6_PREFIX = r"(?i)^([23][0-9a-f]{3}|f[cd][0-9a-f]{2}|fe[89ab][0-9a-f]|ff[0-9a-f]{2}):"
+HALF_PADDED = r"(?i)(^|:)0[0-9a-f]{1,2}(:|$)"
+PHONE_WORDS = r"(?i)(tel|phone|call|fax|mobile)[^A-Za-z]*[a-z]{0,3}[: ]*$"
 SAMPLE = 20000
 PRECISION = 0.95
+LUCK = 0.1
 BINS = 50
 TREES = 10
 DEPTH = 3
@@ -88,12 +103,37 @@ def _checked() -> Column:
     )
 
 
+def _plain() -> Column:
+    """A wider match in the form of the base pattern, where there is one."""
+    address = F.regexp_replace(
+        F.regexp_replace("match", r" ?(\[at\]|\(at\)|@) ?", "@"), r" ?(\[dot\]|\(dot\)|\.) ?", ".")
+    return (
+        F.when(F.col("base"), F.col("match"))
+        .when(F.col("kind") == "email", address)
+        .when(F.col("kind") == "card", F.regexp_replace("match", "[ ._/-]{1,2}", " "))
+        .otherwise(F.col("match"))
+    )
+
+
+def _evidence() -> Column:
+    """Whether a wider match is what it looks like, told without the base pattern."""
+    groups = F.size(F.filter(F.split("match", ":"), lambda group: group != ""))
+    return (
+        F.when(F.col("kind") == "email", F.col("plain").rlike(ADDRESS) & (
+            ~F.col("match").rlike(SPACED_DOT) | F.col("before").rlike(MAIL_WORDS)))
+        .when(F.col("kind") == "ip", F.col("match").rlike(IPV6_PREFIX) & ~F.col("match").rlike(HALF_PADDED)
+              & F.when(F.col("match").contains("::"), groups <= 7).otherwise(groups == 8))
+        .when(F.col("kind") == "card", _checked())
+        .otherwise(_checked() & (F.col("match").startswith("(") | F.col("before").rlike(PHONE_WORDS)))
+    )
+
+
 def _count(pattern: str) -> Column:
-    return (F.length("match") - F.length(F.regexp_replace("match", pattern, ""))).cast("double")
+    return (F.length("plain") - F.length(F.regexp_replace("plain", pattern, ""))).cast("double")
 
 
 def spans(found: DataFrame) -> DataFrame:
-    """One row per candidate: place, whether it is a checked base span, features."""
+    """One row per candidate that can be learnt from: place, checked base span or not, evidence, features."""
     one = found.select(ROW, F.explode("generators").alias("g")).select(
         ROW, "g.kind", "g.base", F.posexplode("g.hits").alias("place", "hit"))
     order = Window.partitionBy(ROW, "kind", "base").orderBy("place")
@@ -102,13 +142,22 @@ def spans(found: DataFrame) -> DataFrame:
     flat = one.select(ROW, "kind", "base", "place", "hit.*")
     digits = F.regexp_replace("match", "[^0-9]", "")
     context = "(?i)(mail|write|contact|tel|phone|call|fax|card|visa|pay|ip|host|addr)[^A-Za-z]*[a-z]{0,3}[: ]*$"
+    # a base span that begins at or before a candidate's start, or after it, may reach into it
+    earlier = F.max(F.when(F.col("checked"), F.col("end"))).over(Window.partitionBy(ROW).orderBy("start"))
+    later = F.min(F.when(F.col("checked"), F.col("start"))).over(Window.partitionBy(ROW).orderBy(F.desc("start")))
+    covered = F.coalesce(earlier > F.col("start"), F.lit(False)) | F.coalesce(later < F.col("end"), F.lit(False))
+    again = F.max("base").over(Window.partitionBy(ROW, "kind", "start", "end"))
     return (
         flat.withColumns({"end": end, "start": end - size})
         .withColumn("checked", F.col("base") & _checked())
+        .withColumns({"covered": covered, "again": again})
+        .where("base OR NOT (covered OR again)")
+        .withColumn("plain", _plain())
+        .withColumn("evidence", F.when(F.col("base"), F.col("checked")).otherwise(_evidence()))
         .select(
-            ROW, "kind", "start", "end", "checked",
+            ROW, "kind", "start", "end", "base", "checked", "evidence",
             (F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind")) - 1).cast("double").alias("kind_number"),
-            size.cast("double").alias("size"),
+            F.length("plain").cast("double").alias("size"),
             _count("[A-Za-z]").alias("letters"), _count("[ _/]").alias("gaps"), _count("[.]").alias("points"),
             _count("[^A-Za-z0-9 ._/]").alias("other"),
             F.col("before").rlike("(^|[\\s(\\[<\"':=,;])$").cast("double").alias("opens"),
@@ -122,20 +171,20 @@ def spans(found: DataFrame) -> DataFrame:
 
 
 def scored(rows: DataFrame) -> DataFrame | None:
-    """Candidates with the score of the trees, or None where there is nothing to learn from."""
-    counts = rows.agg(F.count("*").alias("n"), F.count_if("checked").alias("yes")).first()
-    if counts.yes in (0, counts.n):
+    """Candidates with the score of the trees, or None where none has evidence."""
+    counts = rows.agg(F.count("*").alias("n"), F.count_if("evidence").alias("yes")).first()
+    if counts.yes == 0:
         return None
     share = F.pmod(F.xxhash64(ROW, "start", "end", F.lit(1)), F.lit(1 << 20)) / float(1 << 20)
     vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(
-        rows.withColumn("label", F.col("checked").cast("double")))
+        rows.withColumn("label", F.col("evidence").cast("double")))
     learnt = vectors.where(_learning() & (share < SAMPLE / counts.n)).select("features", "label")
+    columns = (ROW, "kind", "start", "end", "base", "checked", "evidence", "score")
     if learnt.select("label").distinct().count() < 2:
-        return None
+        return rows.withColumn("score", F.lit(1.0)).select(*columns)
     model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=1).fit(learnt.coalesce(1))
     probability = vector_to_array("probability")
-    return model.transform(vectors).withColumn("score", F.get(probability, F.lit(1))).select(
-        ROW, "kind", "start", "end", "checked", "score")
+    return model.transform(vectors).withColumn("score", F.get(probability, F.lit(1))).select(*columns)
 
 
 def _learning() -> Column:
@@ -145,24 +194,24 @@ def _learning() -> Column:
 def thresholds(rows: DataFrame) -> dict[str, float]:
     """The lowest score per kind with the wanted precision in the calibration half."""
     bins = rows.where(~_learning()).groupBy("kind", F.floor(F.col("score") * BINS).alias("bin")).agg(
-        F.count("*").alias("n"), F.count_if("checked").alias("yes")).collect()
+        F.count("*").alias("n"), F.count_if("evidence").alias("yes")).collect()
     found = {}
     for kind in KINDS:
         n = yes = 0
         for row in sorted((r for r in bins if r.kind == kind), key=lambda r: -r.bin):
             n, yes = n + row.n, yes + row.yes
-            if yes >= PRECISION * n:
+            if (n - yes) * LUCK / (1 - LUCK) <= (1 - PRECISION) * yes:
                 found[kind] = row.bin / BINS
     return found
 
 
 def added_spans(rows: DataFrame) -> DataFrame:
-    """Unchecked candidates that the trees select, apart from checked spans and from each other."""
+    """Wider candidates that evidence and trees select, apart from checked spans and from each other."""
     limits = thresholds(rows)
     limit = F.lit(2.0)
     for kind, value in limits.items():
         limit = F.when(F.col("kind") == kind, F.lit(value)).otherwise(limit)
-    chosen = rows.where(F.col("checked") | (F.col("score") >= limit))
+    chosen = rows.where(F.col("checked") | (~F.col("base") & F.col("evidence") & (F.col("score") >= limit)))
     by_start = Window.partitionBy(ROW).orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
     new = F.coalesce(F.max("end").over(by_start) <= F.col("start"), F.lit(True)).cast("int")
     islands = chosen.withColumn("new", new).withColumn(
