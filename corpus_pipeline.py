@@ -18,7 +18,7 @@ from ratesmith.sources.workspace import discard, noted, staged
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the rules, their texts whole."""
     documents = common.numbered_documents(docs)
-    return common.rows_kept(documents, quality.decide(documents).where("kept"))
+    return common.rows_kept(documents, quality.survivors(documents))
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
