@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ratesmith.llm import (
-    exact_dedup, language_id, mixing, ngram_join, packing, pii, quality, repeats, toxicity, url_filter,
+    embedding_index, exact_dedup, language_id, mixing, ngram_join, packing, pii, prefix_trie, quality, repeats,
+    spelling, toxicity, url_filter,
 )
 from ratesmith.sources.workspace import staged
 
@@ -107,6 +108,31 @@ def op10_mix_sources(spark, folder):
     return mixing.mix_report(documents(spark, folder))
 
 
+@query
+def op11_prefix_trie(spark, folder):
+    conversations = spark.read.parquet(f"{folder}/conversations.parquet")
+    return prefix_trie.prefix_trie(*prefix_trie.rebuilt(conversations)).drop("a", "b")
+
+
+@query
+def op12_near_vectors(spark, folder):
+    return embedding_index.linked_vectors(spark.read.parquet(f"{folder}/embeddings.parquet"))
+
+
+@query
+def op13_spelling_variants(spark, folder):
+    return spelling.variant_groups(spelling.word_counts(documents(spark, folder), shorten_every=97))
+
+
+# crc32 of a list of bytes in the check engine: each byte is followed by eight shifts (-1)
+CRC32 = """xor(list_reduce(flatten(list_transform({bytes}, lambda b: [b, -1, -1, -1, -1, -1, -1, -1, -1]))::BIGINT[],
+  lambda x, y: CASE WHEN y >= 0 THEN xor(x, y) WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END,
+  CAST(4294967295 AS BIGINT)), CAST(4294967295 AS BIGINT))"""
+DIGITS = "list_transform(range(1, length(s) + 1), lambda k: ascii(substr(s, CAST(k AS INT), 1)))"
+BYTES = """list_transform(range(1, CAST(octet_length(encode(s)) AS BIGINT) + 1), lambda k:
+  16 * (instr('0123456789ABCDEF', substr(hex(encode(s)), CAST(2 * k - 1 AS INT), 1)) - 1)
+  + instr('0123456789ABCDEF', substr(hex(encode(s)), CAST(2 * k AS INT), 1)) - 1)"""
+
 CHECKS = {
     "op9_near_copies": """
 WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
@@ -168,4 +194,55 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, CAST
  n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
  NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND words_left >= 10 AND words_left >= 0.2 * n_words AS kept
 FROM f""",
+    "op11_prefix_trie": """
+WITH t AS (SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS p,
+  coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+i AS (SELECT DISTINCT c, CAST(c AS VARCHAR) AS s FROM t),
+h AS (SELECT c, """ + CRC32.replace("{bytes}", DIGITS) + """ % 6 AS h FROM i),
+g AS (SELECT h.c, t.p, role, text FROM h JOIN t ON t.c = h.c - h.c % 100 AND t.p <= h.h
+  UNION ALL SELECT h.c, t.p + 10, role, text FROM h JOIN t ON t.c = h.c AND t.p > h.h),
+r AS (SELECT c, row_number() OVER (PARTITION BY c ORDER BY p) AS d, text, sha256(length(role) || ':' || role || text) AS k FROM g),
+n AS (SELECT c, d, length(text) AS chars, string_agg(k, '' ORDER BY d) OVER (PARTITION BY c ORDER BY d) AS name FROM r
+  UNION ALL SELECT c, 0, 0, '' FROM h),
+l AS (SELECT c, max(d) AS last FROM n GROUP BY c),
+v AS (SELECT name, d AS depth, min(n.c) AS conv_id, count(*) AS n_convs, (count(*) - 1) * max(chars) AS w,
+  sha256(coalesce(string_agg(CASE WHEN d = last THEN CAST(n.c AS VARCHAR) END, ',' ORDER BY n.c), '')) AS ends_sha256
+  FROM n JOIN l ON n.c = l.c GROUP BY name, d),
+k AS (SELECT substr(name, 1, 64 * (depth - 1)) AS name, count(*) AS n FROM v WHERE depth > 0 GROUP BY 1),
+s AS (SELECT a.name, sum(b.w) AS saved, count(*) FILTER (WHERE k.n IS NULL) AS leaves FROM v b LEFT JOIN k ON k.name = b.name,
+  unnest(range(0, b.depth + 1)) AS u(e) JOIN v a ON a.name = substr(b.name, 1, 64 * e) GROUP BY a.name)
+SELECT v.conv_id, v.depth, p.conv_id AS parent_conv_id, v.n_convs, coalesce(k.n, 0) AS n_children,
+ CAST(s.leaves AS BIGINT) AS n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, v.ends_sha256
+FROM v JOIN s ON s.name = v.name LEFT JOIN k ON k.name = v.name
+LEFT JOIN v p ON v.depth > 0 AND p.name = substr(v.name, 1, 64 * (v.depth - 1))""",
+    "op12_near_vectors": """
+WITH RECURSIVE e AS (SELECT row_number() OVER () AS r, vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+g AS (SELECT r, v FROM e WHERE v IS NOT NULL AND len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+  AND len(list_filter(v, lambda x: x <> 0)) > 0),
+l AS (SELECT a.r AS x, b.r AS y FROM g a JOIN g b ON a.r <> b.r AND list_cosine_similarity(a.v, b.v) >= 0.95),
+k AS (SELECT x, count(*) AS n FROM l GROUP BY x),
+c AS (SELECT r AS x, r AS y FROM e UNION SELECT c.x, l.y FROM c JOIN l ON l.x = c.y),
+m AS (SELECT c.x, min(e.vec_id) AS least FROM c JOIN e ON e.r = c.y GROUP BY c.x)
+SELECT e.vec_id, coalesce(k.n, 0) AS n_links, m.least AS component_id, e.vec_id IS NOT DISTINCT FROM m.least AS kept
+FROM e JOIN m ON m.x = e.r LEFT JOIN k ON k.x = e.r""",
+    "op13_spelling_variants": """
+WITH RECURSIVE d AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, unnest(regexp_extract_all(translate(coalesce(text, ''),
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\\x{C0}-\\x{FF}]+')) AS w FROM documents),
+o AS (SELECT id, w, id || ':' || w AS s, count(*) AS n FROM d GROUP BY id, w),
+h AS (SELECT w, n, """ + CRC32.replace("{bytes}", BYTES) + """ AS h FROM o),
+t AS (SELECT CASE WHEN h % 97 = 0 THEN substr(w, 1, CAST(h % length(w) AS INT)) || substr(w, CAST(h % length(w) AS INT) + 2)
+  ELSE w END AS word, n FROM h),
+w AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM t GROUP BY word HAVING length(word) >= 5 AND sum(n) >= 3),
+v AS (SELECT word, k, substr(word, 1, CAST(k AS INT) - 1) || substr(word, CAST(k AS INT) + 1) AS rest
+  FROM w, unnest(range(1, length(word) + 1)) AS u(k)),
+p AS (SELECT a.word AS word, b.word AS near FROM v a JOIN v b ON a.k = b.k AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT v.word, w.word FROM v JOIN w ON w.word = v.rest UNION SELECT w.word, v.word FROM v JOIN w ON w.word = v.rest),
+c AS (SELECT p.word, p.near, w.n AS near_n, row_number() OVER (PARTITION BY p.word ORDER BY w.n DESC, p.near) AS place,
+  count(*) OVER (PARTITION BY p.word) AS n_near FROM p JOIN w ON w.word = p.near),
+f AS (SELECT w.word, w.n, coalesce(c.n_near, 0) AS n_near, CASE WHEN c.near_n >= 2 * w.n THEN c.near END AS form,
+  CASE WHEN c.near_n >= 2 * w.n THEN c.near_n END AS form_n FROM w LEFT JOIN c ON c.word = w.word AND place = 1),
+r AS (SELECT word, word AS here, 0 AS step FROM f UNION ALL
+  SELECT r.word, f.form, r.step + 1 FROM r JOIN f ON f.word = r.here WHERE f.form IS NOT NULL),
+e AS (SELECT word, arg_max(here, step) AS root FROM r GROUP BY word)
+SELECT f.word, f.n, f.n_near, f.form, f.form_n, e.root FROM f JOIN e ON e.word = f.word""",
 }
