@@ -7,7 +7,8 @@ run again after a lost executor produces the same values, which a stateful gener
 from __future__ import annotations
 
 import string
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from copy import copy
 from itertools import accumulate
 
 from pyspark.sql import Column, functions as F
@@ -51,12 +52,28 @@ class Draws:
     def __init__(self, *keys: str | Column, seed: int = 0, **alphabets: str):
         self._keys = [F.col(key) if isinstance(key, str) else key for key in keys]
         self._seed = seed
-        self._count = 0
+        self._drawn = [0]  # shared with the draws of places
+        self._places: tuple[Column, ...] = ()
         self._alphabets = {**ALPHABETS, **alphabets}
 
     def seed(self, seed: int) -> None:
         """Start again with another seed."""
-        self._seed, self._count = seed, 0
+        self._seed, self._drawn[0] = seed, 0
+
+    @property
+    def count(self) -> int:
+        """Draws made so far; setting it back repeats them."""
+        return self._drawn[0]
+
+    @count.setter
+    def count(self, number: int) -> None:
+        self._drawn[0] = number
+
+    def at(self, place: Column) -> Draws:
+        """Draws of their own for every place of an array, for use inside a lambda."""
+        inner = copy(self)
+        inner._places = (*self._places, place)
+        return inner
 
     def add_alphabet(self, name: str, characters: str) -> None:
         self._alphabets[name] = characters
@@ -65,8 +82,8 @@ class Draws:
         return self._alphabets[name]
 
     def _hash(self, *more: Column) -> Column:
-        self._count += 1
-        return F.xxhash64(*self._keys, F.lit(self._seed), F.lit(self._count), *more)
+        self._drawn[0] += 1
+        return F.xxhash64(*self._keys, F.lit(self._seed), F.lit(self._drawn[0]), *self._places, *more)
 
     def uniform(self) -> Column:
         """Uniform number in [0, 1)."""
@@ -124,13 +141,12 @@ class Draws:
         stop = start if stop is None else stop
         if not pool or start > stop or start < len(include):
             raise ValueError("no such string: check alphabet, length and included characters")
-        length = self.integer(start, stop) - len(include)
-        longest = F.concat(*[self.choice(pool) for _ in range(stop - len(include))], F.lit(""))
-        value = longest if start == stop else F.substring(longest, F.lit(1), length)
-        for ch in include:  # each at a random place of what is there already
-            place = F.pmod(self._hash(), F.length(value) + 1).cast("int")
-            value = F.concat(
-                F.substring(value, F.lit(1), place), F.lit(ch),
-                F.substring(value, place + 1, F.length(value)),
-            )
-        return value
+        characters = self.repeated(self.integer(start, stop) - len(include), lambda draws: draws.choice(pool))
+        if include:
+            characters = self.shuffle(F.concat(characters, F.array(*map(F.lit, include))))
+        return F.array_join(characters, "")
+
+    def repeated(self, times: Column, draw: Callable[[Draws], Column]) -> Column:
+        """An array of text drawn anew for each of `times` places; one expression of any length."""
+        places = F.sequence(F.lit(1), F.greatest(times, F.lit(1)))
+        return F.slice(F.transform(places, lambda place: draw(self.at(place))), F.lit(1), times)

@@ -16,7 +16,7 @@ from pyspark.sql import Column, functions as F
 from ratesmith.functions.synth import ALPHABETS, Draws
 
 PRINTABLE = ALPHABETS["printable"]
-UNBOUNDED_MAX = 100  # longest repetition drawn where the template gives no upper limit
+UNBOUNDED_MAX = 100  # longest repetition drawn by default where the template gives no upper limit
 
 
 @dataclass(frozen=True)
@@ -90,20 +90,26 @@ def either(*options: Template) -> Template:
     return Template("(?:" + "|".join(option.pattern for option in options) + ")", build)
 
 
-def repeat(part: Template, least: int, most: int | None = None, lazy: bool = False) -> Template:
-    """The template drawn anew `least` to `most` times."""
-    limit = UNBOUNDED_MAX if most is None else most
+def repeat(
+    part: Template, least: int, most: int | None = None, lazy: bool = False, longest: int = UNBOUNDED_MAX
+) -> Template:
+    """The template drawn anew `least` to `most` times; without `most`, up to `longest` times.
+
+    Outside, `back` to a group of the repeated part gives the value of its last round.
+    """
+    limit = max(least, longest) if most is None else most
     if not 0 <= least <= limit:
         raise ValueError("repetition limits must satisfy 0 <= least <= most")
 
     def build(draws: Draws, groups: dict) -> Column:
-        if least == limit:
-            return F.concat(*[part.build(draws, groups) for _ in range(limit)], F.lit(""))
         times = draws.integer(least, limit)
-        return F.concat(*[
-            F.when(times > place, part.build(draws, groups)).otherwise("")
-            for place in range(limit)
-        ])
+        before, inner = draws.count, dict(groups)
+        value = F.array_join(draws.repeated(times, lambda place: part.build(place, inner)), "")
+        if any(inner[name] is not groups.get(name) for name in inner):
+            after, draws.count = draws.count, before
+            part.build(draws.at(times), groups)
+            draws.count = after
+        return value
 
     upper = "" if most is None else str(most)
     return Template(f"(?:{part.pattern}){{{least},{upper}}}{'?' if lazy else ''}", build)

@@ -77,3 +77,33 @@ def test_unbounded_repeat_reaches_its_limit(spark):
         F.length(tp.repeat(tp.text("a"), 0).column(Draws("id"))).alias("n"))
     row = lengths.agg(F.min("n"), F.max("n")).first()
     assert tuple(row) == (0, tp.UNBOUNDED_MAX)
+
+
+def test_very_long_strings_are_one_expression(spark):
+    long = Draws("id").text("letters", 1, 10_000)
+    table = spark.range(300).select(long.alias("t"))
+    row = table.agg(F.max(F.length("t")), F.min(F.length("t")), F.count_if(~F.col("t").rlike("^[a-zA-Z]+$"))).first()
+    assert 9000 < row[0] <= 10_000 and 1 <= row[1] < 1500 and row[2] == 0
+    plan = table._jdf.queryExecution().optimizedPlan().toString()
+    assert len(plan) < 2000
+    exact = spark.range(5).select(F.length(Draws("id").text("ab", 10_000, include="@#")).alias("n"))
+    assert {r.n for r in exact.collect()} == {10_000}
+
+
+def test_places_of_a_repeat_are_independent(spark):
+    value = tp.repeat(tp.any_of("ab"), 12, 12).column(Draws("id"))
+    assert spark.range(3000).select(value.alias("v")).distinct().count() > 1500
+
+
+def test_open_repeats_take_their_longest_as_an_argument(spark):
+    lengths = spark.range(3000).select(
+        F.length(tp.repeat(tp.text("a"), 2, longest=7).column(Draws("id"))).alias("n"))
+    assert {r.n for r in lengths.distinct().collect()} == set(range(2, 8))
+
+
+def test_groups_inside_a_repeat(spark):
+    part = tp.group("d", tp.digit()) + tp.text("=") + tp.back("d")
+    template = tp.repeat(part + tp.text(";"), 1, 4) + tp.back("d")
+    table = spark.range(400).select(template.column(Draws("id")).alias("v"))
+    assert table.where(~F.col("v").rlike(f"^{template.pattern}$")).isEmpty()
+    assert table.where("v RLIKE '^(.=.;){3}.$'").count() > 50
