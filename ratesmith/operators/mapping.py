@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ratesmith import constants as c
 from ratesmith.functions.period import as_date
@@ -92,6 +92,31 @@ def membership_history(
     )
 
 
+def merged_history(history: DataFrame) -> DataFrame:
+    """Relationships with overlapping and touching intervals of one practice and network as one.
+
+    An interval touches the next one if that begins on the day after its end. Rows without a start,
+    and rows that end before they start, are valid on no day and go. Intervals shrink to one per
+    start day first, so a window sees at most as many rows as a relationship has start days.
+    """
+    versions = ("RELATIONSHIP_START_DATE", "RELATIONSHIP_END_DATE")
+    start, end = map(F.col, versions)
+    parties = [name for name in history.columns if name not in versions]
+    last = F.coalesce(F.unix_date(end), F.lit(_HALF - 1)).cast("bigint")
+    days = (
+        history.where(start.isNotNull() & (end.isNull() | (end >= start)))
+        .groupBy(*parties, start).agg(F.max(last).alias("last"))
+    )
+    by_start = Window.partitionBy(*parties).orderBy(versions[0])
+    reached = F.max("last").over(by_start.rowsBetween(Window.unboundedPreceding, -1))
+    new = F.coalesce(F.unix_date(start) > reached + 1, F.lit(True))
+    islands = days.withColumn("new", new.cast("int")).withColumn("island", F.sum("new").over(by_start))
+    merged = islands.groupBy(*parties, "island").agg(
+        F.min(versions[0]).alias(versions[0]), F.max("last").alias("last"))
+    open_end = F.when(F.col("last") < _HALF - 1, F.date_from_unix_date(F.col("last").cast("int")))
+    return merged.withColumn(versions[1], open_end).select(*history.columns)
+
+
 def _version_rank(start: Column, end: Column) -> Column:
     """One number that orders versions: later start first, then open end, then earlier end."""
     open_or_early = F.when(end.isNull(), _OPEN).otherwise(_HALF - F.unix_date(end))

@@ -51,6 +51,45 @@ def org_relationships(t: Tables) -> DataFrame:
     )
 
 
+_RELATIONSHIPS = """
+SELECT o.Name AS PRACTICE_NAME, o.organisationID AS PRACTICE_CODE, l.StartDate AS s, l.EndDate AS e, n.Name AS PCN_NAME, n.organisationID AS PCN_CODE
+FROM {fx_org_relationship} l JOIN {fx_org} o ON o.organisationID = l.organisationID AND o.datetype = 'Operational'
+JOIN {fx_org} n ON n.organisationID = l.targetOrganisationID AND n.datetype = 'Operational'
+JOIN {fx_org_role} r ON r.organisationID = o.organisationID AND r.datetype = 'Operational' AND r.roleID IN ('RO76', 'RO177')
+JOIN {fx_org_role} nr ON nr.organisationID = n.organisationID AND nr.datetype = 'Operational' AND nr.roleID = 'RO272' AND nr.primaryRole = 1
+WHERE l.relationshipID = 'RE8'"""
+_LATEST = f"""
+SELECT PRACTICE_NAME, PRACTICE_CODE, s AS RELATIONSHIP_START_DATE, e AS RELATIONSHIP_END_DATE, PCN_NAME, PCN_CODE, DATE '{AT}' AS EXTRACT_DATE
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY PRACTICE_CODE ORDER BY s DESC, PCN_CODE, PRACTICE_NAME, PCN_NAME, CASE WHEN e IS NULL THEN 0 ELSE 1 END, e) AS place
+ FROM ({{rows}}) x WHERE s <= DATE '{AT}' AND (e >= DATE '{AT}' OR e IS NULL)) y WHERE place = 1"""
+
+
+def _memberships(t: Tables) -> DataFrame:
+    return mapping.membership_history(
+        t["fx_org"], t["fx_org_role"], t["fx_org_code"], t["fx_org_relationship"]
+    )
+
+
+@register(_LATEST.replace("{rows}", _RELATIONSHIPS))
+def org_mapping(t: Tables) -> DataFrame:
+    """From the organisation tables to the network of each practice, names included."""
+    return mapping.mapping_as_of(_memberships(t), b.PERIOD.end)
+
+
+_ISLANDS = f"""
+SELECT PRACTICE_NAME, PRACTICE_CODE, MIN(s) AS s, CASE WHEN MAX(CASE WHEN e IS NULL THEN 1 ELSE 0 END) = 0 THEN MAX(e) END AS e, PCN_NAME, PCN_CODE
+FROM (SELECT *, SUM(fresh) OVER (PARTITION BY PRACTICE_CODE, PCN_CODE ORDER BY s, f ROWS UNBOUNDED PRECEDING) AS island
+ FROM (SELECT *, CASE WHEN s > MAX(f) OVER (PARTITION BY PRACTICE_CODE, PCN_CODE ORDER BY s, f ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 1 THEN 1 ELSE 0 END AS fresh
+  FROM (SELECT *, COALESCE(e, DATE '2500-01-01') AS f FROM ({_RELATIONSHIPS}) r WHERE e IS NULL OR e >= s) a) b) c
+GROUP BY PRACTICE_NAME, PRACTICE_CODE, PCN_NAME, PCN_CODE, island"""
+
+
+@register(_LATEST.replace("{rows}", _ISLANDS))
+def org_mapping_merged(t: Tables) -> DataFrame:
+    """As `org_mapping`, with the intervals of one practice and network merged before the choice."""
+    return mapping.mapping_as_of(mapping.merged_history(_memberships(t)), b.PERIOD.end)
+
+
 @register("SELECT DISTINCT PCN_CODE, PCN_NAME FROM {ck_mapping}")
 def pcn_names(t: Tables) -> DataFrame:
     return mapping.network_names(b.practice_mapping(t))

@@ -1,5 +1,7 @@
 from datetime import date
 
+from pyspark.sql import functions as F
+
 from ratesmith.operators import mapping
 
 HISTORY = (
@@ -91,3 +93,39 @@ def test_key_sets(spark, rows):
     right = spark.createDataFrame([("b",), ("c",)], "k string")
     assert rows(mapping.shared_keys(left, right, "k")) == [("b",)]
     assert mapping.shared_keys(left, right.where("k = 'c'"), "k").isEmpty()
+
+
+def test_intervals_merge_where_they_overlap_or_touch(spark, rows):
+    d = date
+    history = spark.createDataFrame([
+        ("p", "A", d(2000, 1, 1), d(2000, 3, 31), "n", "N1"), ("p", "A", d(2000, 4, 1), d(2000, 6, 30), "n", "N1"),
+        ("p", "A", d(2000, 2, 1), d(2000, 2, 10), "n", "N1"), ("p", "A", d(2000, 8, 1), None, "n", "N1"),
+        ("p", "A", d(2001, 1, 1), d(2001, 2, 1), "n", "N1"), ("p", "A", d(2000, 5, 1), None, "m", "N2"),
+        ("q", "B", None, d(2001, 1, 1), "n", "N1"), ("q", "B", d(2000, 5, 1), d(2000, 4, 1), "n", "N1"),
+        ("q", "B", d(2000, 1, 1), d(2000, 1, 1), "n", "N1"), ("q", "B", d(2000, 1, 3), d(2000, 1, 4), "n", "N1"),
+    ], HISTORY)
+    found = mapping.merged_history(history)
+    assert found.columns == history.columns
+    assert rows(found, "PRACTICE_CODE", "PCN_CODE", "RELATIONSHIP_START_DATE", "RELATIONSHIP_END_DATE") == [
+        ("A", "N1", d(2000, 1, 1), d(2000, 6, 30)), ("A", "N1", d(2000, 8, 1), None),
+        ("A", "N2", d(2000, 5, 1), None), ("B", "N1", d(2000, 1, 1), d(2000, 1, 1)),
+        ("B", "N1", d(2000, 1, 3), d(2000, 1, 4))]
+    # validity on any day is what it was
+    for day in ("2000-02-05", "2000-03-31", "2000-07-15", "2000-01-02", "2001-06-01"):
+        when = F.lit(date.fromisoformat(day))
+        valid = mapping.valid_on(when, "RELATIONSHIP_START_DATE", "RELATIONSHIP_END_DATE")
+        assert rows(found.where(valid).select("PRACTICE_CODE", "PCN_CODE").distinct()) == rows(
+            history.where(valid).select("PRACTICE_CODE", "PCN_CODE").distinct())
+    assert mapping.merged_history(history.limit(0)).isEmpty()
+
+
+def test_many_rows_of_one_relationship_merge_by_day(spark):
+    history = spark.range(0, 200_000, 1, 8).select(
+        F.lit("p").alias("PRACTICE_NAME"), F.lit("A").alias("PRACTICE_CODE"),
+        F.date_add(F.lit(date(1990, 1, 1)), (F.col("id") % 2000 * 2).cast("int")).alias("RELATIONSHIP_START_DATE"),
+        F.date_add(F.lit(date(1990, 1, 1)), (F.col("id") % 2000 * 2).cast("int")).alias("RELATIONSHIP_END_DATE"),
+        F.lit("n").alias("PCN_NAME"), F.lit("N1").alias("PCN_CODE"))
+    found = mapping.merged_history(history).collect()
+    assert len(found) == 2000  # every second day lies between two intervals of one day
+    plan = mapping.merged_history(history)._jdf.queryExecution().executedPlan().toString()
+    assert "partial_max" in plan
