@@ -37,7 +37,9 @@ def cases_by_network(cohort: DataFrame, mapping: DataFrame) -> DataFrame:
     """Distinct cases with their network, and one empty row per practice without any.
 
     An outer join from the mapping could not be split where one practice holds most of the
-    cases, so the matched and the unmatched part are built separately.
+    cases, nor could the mapping be broadcast to it, so the matched and the unmatched part are built
+    separately. The second one reads a single column of the cohort, which shrinks to its practices
+    in the map tasks. The mapping, read on both sides, should be a written table.
     """
     cases = _cases(cohort)
     members = mapping.select("PRACTICE_CODE", "PCN_CODE", "PCN_NAME")
@@ -90,33 +92,39 @@ def dense_grid(mapping: DataFrame) -> DataFrame:
     )
 
 
+def _network_totals(cohort: DataFrame, mapping: DataFrame) -> DataFrame:
+    """Totals per practice, sex and age with the network; one empty row for a practice without any."""
+    members = mapping.select("PRACTICE_CODE", "PCN_CODE")
+    return members.join(practice_totals(cohort), "PRACTICE_CODE", "left")
+
+
 def admissions_by_band(cohort: DataFrame, mapping: DataFrame) -> DataFrame:
-    """Admissions of every network in every band, zero where there are none."""
-    grid = (
-        mapping.select("PCN_CODE")
-        .distinct()
-        .withColumn("AGE_FIVE_YEAR", F.explode(F.array(*map(F.lit, band_names()))))
-        .withColumn("admissions", F.lit(0).cast("bigint"))
-    )
-    counted = admission_cells(cohort, mapping).where(F.col("AGE_FIVE_YEAR").isNotNull())
-    return (
-        grid.unionByName(counted)
+    """Admissions of every network in every band, zero where there are none.
+
+    A network's bands are one map, and become rows from the list of all bands last, so the mapping
+    is read once and no grid is joined.
+    """
+    by_band = (
+        _network_totals(cohort, mapping)
+        .withColumn("AGE_FIVE_YEAR", band_of_age_text(F.col("SEX"), F.col("AGE")))
         .groupBy("PCN_CODE", "AGE_FIVE_YEAR")
         .agg(F.sum("admissions").alias("admissions"))
     )
+    counted = F.when(F.col("AGE_FIVE_YEAR").isNotNull(), F.struct("AGE_FIVE_YEAR", "admissions"))
+    bands = F.array(*map(F.lit, band_names()))
+    return (
+        by_band.groupBy("PCN_CODE")
+        .agg(F.map_from_entries(F.collect_list(counted)).alias("counts"))
+        .select("PCN_CODE", "counts", F.explode(bands).alias("AGE_FIVE_YEAR"))
+        .select("PCN_CODE", "AGE_FIVE_YEAR",
+                F.coalesce(F.element_at("counts", F.col("AGE_FIVE_YEAR")), F.lit(0)).alias("admissions"))
+    )
 
 
 def admissions_by_network(cohort: DataFrame, mapping: DataFrame) -> DataFrame:
     """Admissions of every network, zero where there are none."""
-    empty = mapping.select("PCN_CODE").distinct().withColumn(
-        "admissions", F.lit(0).cast("bigint")
-    )
-    counted = admission_cells(cohort, mapping).select("PCN_CODE", "admissions")
-    return (
-        empty.unionByName(counted)
-        .groupBy("PCN_CODE")
-        .agg(F.sum("admissions").alias("admissions"))
-    )
+    return _network_totals(cohort, mapping).groupBy("PCN_CODE").agg(
+        F.coalesce(F.sum("admissions"), F.lit(0)).alias("admissions"))
 
 
 def standardise_counts(

@@ -69,7 +69,8 @@ SELECT DISTINCT c.GPPRAC AS PRACTICE_CODE, c.EPIKEY, c.STARTAGE AS AGE, c.SEX, c
  CASE WHEN c.GPPRAC IS NOT NULL THEN DATE '{CURRENT[2]}' END AS EXTRACT_DATE, CASE WHEN c.GPPRAC IS NOT NULL THEN DATE '{CURRENT[0]}' END AS RPSD,
  m.PCN_CODE, m.PCN_NAME FROM {{ck_mapping}} m LEFT JOIN {{ck_cohort}} c ON c.GPPRAC = m.PRACTICE_CODE""")
 def cohort_by_pcn(t: Tables) -> DataFrame:
-    return standardise.cases_by_network(b.current_cohort(t), b.practice_mapping(t))
+    practices = staged(b.practice_mapping(t), "pcn_mapping")
+    return standardise.cases_by_network(b.current_cohort(t), practices)
 
 
 @register("""

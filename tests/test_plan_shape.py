@@ -86,3 +86,18 @@ def test_staged_tables_survive_in_the_shared_folder(spark):
     df = staged(spark.range(5), "test")
     assert df.count() == 5 and "FileScan" in simple(df)
 
+
+@pytest.fixture
+def merge_joins(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_totals_reach_the_grid_with_one_scan_of_the_mapping(spark, episodes, merge_joins):
+    path = new_path(spark, "test-mapping")
+    spark.createDataFrame([("1", "N", "n")], "PRACTICE_CODE string, PCN_CODE string, PCN_NAME string").write.parquet(path)
+    rows = cohort.cohort_rows(scans.episodes(episodes), "2000-04-01", "2000-12-31", "2000-12-01")
+    for build in (standardise.admissions_by_band, standardise.admissions_by_network):
+        plan = simple(build(rows, spark.read.parquet(path)))
+        assert plan.count("FileScan") == 2  # the episodes and the mapping
