@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from ratesmith.operators import diff
 
@@ -67,3 +68,61 @@ def test_columns(spark, rows):
         "k int, a double, b double")
     assert rows(diff.column_differences(df, "a", "b"), "k") == [(2,), (4,), (5,)]
     assert rows(diff.column_differences(df, "a", "b", 0.1), "k") == [(4,), (5,)]
+
+
+def test_repeated_names_are_fields_of_their_own(spark, rows):
+    two = spark.sql("SELECT 1 AS x, 2 AS x")
+    one = spark.sql("SELECT 1 AS x")
+    for ordered in (True, False):
+        assert [name for name, *_ in diff.schema_differences(two, one, ignore_order=not ordered)] == ["x#2"]
+    with pytest.raises(diff.SchemaMismatch):
+        diff.row_differences(two, one)
+    assert diff.row_differences(two, two).isEmpty()
+    assert rows(diff.row_differences(two, spark.sql("SELECT 2 AS x, 1 AS x"))) == [(1, 2, 1, 0), (2, 1, 0, 1)]
+
+
+def test_nested_differences_name_their_path(spark):
+    left = spark.createDataFrame([], "a int, s struct<x:int,t:array<struct<y:string>>>, m map<string,int>, o double")
+    right = spark.createDataFrame([], "a int, s struct<x:bigint,t:array<struct<y:string,z:int>>>, m map<string,double>")
+    assert diff.tree_differences(left, right) == [
+        ("s.x", "int", "bigint"), ("m{value}", "int", "double"), ("o", "double", "missing"),
+        ("s.t[].z", "missing", "int")]
+    assert diff.tree_differences(left, left, ignore_nullable=False, ignore_order=False) == []
+    required = spark.createDataFrame([], "s struct<x:int NOT NULL>")
+    optional = spark.createDataFrame([], "s struct<x:int>")
+    assert diff.tree_differences(required, optional) == []
+    assert diff.tree_differences(required, optional, ignore_nullable=False) == [("s.x", "int not null", "int null")]
+    moved = spark.createDataFrame([], "s struct<y:int,x:int>")
+    plain = spark.createDataFrame([], "s struct<x:int,y:int>")
+    assert diff.tree_differences(plain, moved) == []
+    assert len(diff.tree_differences(plain, moved, ignore_order=False)) == 2
+    assert diff.tree_differences(spark.sql("SELECT 1 AS x, 2 AS x"), spark.sql("SELECT 1 AS x")) == [
+        ("x#2", "int", "missing")]
+
+
+def test_options_of_table_comparison(spark, rows):
+    left = spark.createDataFrame([(1, NAN, [1.0]), (2, 0.5, [NAN]), (3, 1.04, [0.0])], "k int, v double, a array<double>")
+    right = left.select("a", "v", "k")
+    with pytest.raises(diff.SchemaMismatch):
+        diff.table_differences(left, right, allow_nan_equality=True)
+    same = dict(ignore_column_order=True, ignore_nullable=True)
+    assert diff.table_differences(left, right, allow_nan_equality=True, **same).isEmpty()
+    # NaN equals nothing, inside arrays too
+    assert rows(diff.table_differences(left, right, **same), "k") == [(1,), (2,)]
+    moved = right.withColumn("v", F.col("v") + 0.01)
+    rounded = [lambda df: df.withColumn("v", F.round("v", 1)), lambda df: df.drop("a")]
+    assert rows(diff.table_differences(left, moved, rounded, allow_nan_equality=True, **same), "k") == [(3,), (3,)]
+    assert diff.table_differences(left, moved, [lambda df: df.select("k")], **same).isEmpty()
+
+
+def test_approximate_comparison_sorts_no_rows(spark, rows):
+    table = spark.range(2000).select(
+        F.when(F.col("id") % 50 != 0, F.col("id")).alias("k"), (F.col("id") * 0.5).alias("v"), F.lit("t").alias("t"))
+    unique = table.where("k IS NOT NULL").unionByName(table.where("k IS NULL").limit(1))
+    changed = unique.withColumn("v", F.when(F.col("k") % 7 == 1, F.col("v") + 1).otherwise(F.col("v") + 0.001))
+    found = diff.approximate_differences(unique, changed, ["k"], 0.01)
+    assert rows(found, "k", "difference") == sorted(
+        [(k, "v") for k in range(2000) if k % 50 and k % 7 == 1], key=repr)
+    assert "SortAggregate" not in found._jdf.queryExecution().executedPlan().toString()
+    null_key = unique.withColumn("v", F.when(F.col("k").isNull(), F.lit(-1.0)).otherwise(F.col("v")))
+    assert rows(diff.approximate_differences(unique, null_key, ["k"], 0.01), "k", "difference") == [(None, "v")]
