@@ -74,6 +74,10 @@ def numerator_share(published: DataFrame, numerator: str, denominator: str) -> D
 def organisation_count(published: DataFrame, tolerance: float = 1.0) -> DataFrame:
     """Organisations per month; the latest month must stay within the tolerance in %."""
     counts = published.groupBy(DATE).agg(F.count_distinct(ORG).alias("TOTAL_PRAC_COUNT"))
+    return _organisation_trend_of_months(counts, tolerance)
+
+
+def _organisation_trend_of_months(counts: DataFrame, tolerance: float) -> DataFrame:
     by_month = Window.orderBy(DATE)  # one row per month
     trend = counts.withColumns({
         "prev_month_value": F.lag("TOTAL_PRAC_COUNT").over(by_month),
@@ -87,12 +91,39 @@ def organisation_count(published: DataFrame, tolerance: float = 1.0) -> DataFram
     )
 
 
-def _change(total: str) -> Column:
+SKETCH_BITS = 12
+
+
+def organisation_sketches(published: DataFrame, bits: int = SKETCH_BITS) -> DataFrame:
+    """One sketch of the organisations per month, of at most about 2^bits bytes.
+
+    The relative standard error of a count is about 0.8 / sqrt(2^bits): 1.3 % for 12 bits, below
+    which small counts are far.
+    """
+    return published.groupBy(DATE).agg(F.hll_sketch_agg(ORG, bits).alias("sketch"))
+
+
+def replace_sketches(stored: DataFrame, fresh: DataFrame) -> DataFrame:
+    """Stored sketches with those of some months replaced."""
+    kept = stored.join(fresh.select(F.col(DATE).alias("month")), F.col(DATE).eqNullSafe(F.col("month")), "left_anti")
+    return kept.unionByName(fresh)
+
+
+def all_organisations(sketches: DataFrame) -> DataFrame:
+    """Estimated number of different organisations over all months, from the sketches alone."""
+    return sketches.agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("organisations"))
+
+
+def organisation_count_from(sketches: DataFrame, tolerance: float = 1.0) -> DataFrame:
+    """As `organisation_count`, from stored sketches instead of the published rows."""
+    return _organisation_trend_of_months(
+        sketches.select(DATE, F.hll_sketch_estimate("sketch").alias("TOTAL_PRAC_COUNT")), tolerance)
+
+
+def _change(total: str, previous: str = "prev_month_value") -> Column:
     """Change in %: zero for the first month, NULL after a month of zero."""
-    step = F.col(total) - F.col("prev_month_value")
-    return F.when(step.isNull(), 0.0).otherwise(
-        percent_change(F.col(total), F.col("prev_month_value"))
-    )
+    step = F.col(total) - F.col(previous)
+    return F.when(step.isNull(), 0.0).otherwise(percent_change(F.col(total), F.col(previous)))
 
 
 def month_total(published: DataFrame, attribute: str) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 
 from ratesmith import constants as c
 from ratesmith.functions.period import ReportingPeriod
-from ratesmith.operators import cohort, diff, mapping, population, publish, quality, standardise
+from ratesmith.operators import audit, cohort, diff, mapping, population, publish, quality, standardise
 from ratesmith.plans.store import Store
 from ratesmith.sources import reference, scans
 
@@ -103,40 +103,46 @@ def landing_tables(
     return {CQRS: cqrs, CHECKED: checked, UDAL: udal, PUBLICATION: publication}
 
 
-def checks(practices: DataFrame, cqrs: DataFrame, udal: DataFrame) -> dict[str, DataFrame]:
-    """Offending rows of every check of the published tables."""
-    current = (c.ADMISSIONS_NUMERATOR, c.ADMISSIONS_DENOMINATOR)
-    baseline = (c.ADMISSIONS_BASE_NUMERATOR, c.ADMISSIONS_BASE_DENOMINATOR)
-    crude = (c.ADMISSIONS_CRUDE, c.ADMISSIONS_DENOMINATOR)
-    base_crude = (c.ADMISSIONS_BASE_CRUDE, c.ADMISSIONS_BASE_DENOMINATOR)
-    found = {"mapping: one row per practice": quality.repeated_practices(practices)}
-    for name, table, expected in (("cqrs", cqrs, 4), ("udal", udal, 6)):
-        found[f"{name}: attributes per organisation"] = quality.breaches(
-            quality.attribute_count(table, expected)
-        )
-        found[f"{name}: organisation count"] = quality.breaches(
-            quality.organisation_count(table)
-        )
-    for name, table, pair in (
-        ("cqrs", cqrs, current), ("cqrs", cqrs, baseline),
-        ("udal", udal, crude), ("udal", udal, base_crude),
-    ):
-        found[f"{name}: share {pair[0]}"] = quality.breaches(quality.numerator_share(table, *pair))
-    for name, table, pairs in (
-        ("cqrs", cqrs, (current, baseline)),
-        ("udal", udal, (current, baseline, crude, base_crude)),
-    ):
-        for pair in pairs:
-            found[f"{name}: month total {pair[0]}"] = quality.breaches(
-                quality.month_total(table, pair[0])
-            )
-            found[f"{name}: organisation total {pair[0]}"] = quality.breaches(
-                quality.organisation_total_with_population(table, *pair)
-            )
-    found["cqrs and udal agree"] = diff.tables_match(
-        cqrs, udal, [c.ADMISSIONS_CRUDE, c.ADMISSIONS_BASE_CRUDE]
-    )
-    return found
+def _pair_checks(table: str, pairs: list[tuple[str, str]]) -> list[audit.Check]:
+    return [check for numerator, denominator in pairs for check in (
+        audit.month_total(f"{table}: month total {numerator}", numerator),
+        audit.organisation_total_with_population(
+            f"{table}: organisation total {numerator}", numerator, denominator),
+    )]
+
+
+_CURRENT = (c.ADMISSIONS_NUMERATOR, c.ADMISSIONS_DENOMINATOR)
+_BASELINE = (c.ADMISSIONS_BASE_NUMERATOR, c.ADMISSIONS_BASE_DENOMINATOR)
+_CRUDE = (c.ADMISSIONS_CRUDE, c.ADMISSIONS_DENOMINATOR)
+_BASE_CRUDE = (c.ADMISSIONS_BASE_CRUDE, c.ADMISSIONS_BASE_DENOMINATOR)
+CQRS_CHECKS = [
+    audit.attributes("cqrs: attributes per organisation", 4),
+    audit.organisations("cqrs: organisation count"),
+    *(audit.share(f"cqrs: share {pair[0]}", *pair) for pair in (_CURRENT, _BASELINE)),
+    *_pair_checks("cqrs", [_CURRENT, _BASELINE]),
+]
+UDAL_CHECKS = [
+    audit.attributes("udal: attributes per organisation", 6),
+    audit.organisations("udal: organisation count"),
+    *(audit.share(f"udal: share {pair[0]}", *pair) for pair in (_CRUDE, _BASE_CRUDE)),
+    *_pair_checks("udal", [_CURRENT, _BASELINE, _CRUDE, _BASE_CRUDE]),
+]
+ONE_MAPPING, TABLES_AGREE = "mapping: one row per practice", "cqrs and udal agree"
+CHECK_NAMES = [ONE_MAPPING, *(check.name for check in CQRS_CHECKS + UDAL_CHECKS), TABLES_AGREE]
+OFFENDERS = "check_offenders"
+
+
+def checked(store: Store) -> DataFrame:
+    """Offending rows of every check, stored; each published table is read by two scans."""
+    cqrs, udal = store.published(CQRS), store.published(CHECKED)
+    parts = [audit.as_offenders(
+        ONE_MAPPING, quality.repeated_practices(store.read("mapping")), "PRACTICE_CODE", "mappings")]
+    for name, table, wanted in (("cqrs", cqrs, CQRS_CHECKS), ("udal", udal, UDAL_CHECKS)):
+        cells = store.stage(f"check_cells_{name}", audit.cells(table, wanted))
+        parts.append(audit.offenders(cells, wanted))
+    different = diff.tables_match(cqrs, udal, [c.ADMISSIONS_CRUDE, c.ADMISSIONS_BASE_CRUDE])
+    parts.append(audit.as_offenders(TABLES_AGREE, different, "ORG_ID", "left_rows", "right_rows"))
+    return store.stage(OFFENDERS, audit.all_offenders(parts))
 
 
 def run(
@@ -146,7 +152,10 @@ def run(
     created_at: datetime,
     suppress: bool = False,
 ) -> DataFrame:
-    """Whole run; returns the summary of its checks, which read the values before suppression."""
+    """Whole run; returns the summary of its checks, which read the values before suppression.
+
+    The offending rows themselves are in the store's table `OFFENDERS`.
+    """
     prepare(inputs, period, store)
     numerators(period, store)
     for name, rows in landing_tables(period, store, created_at, suppress).items():
@@ -157,6 +166,4 @@ def run(
             store.stage(name, batch.drop("CREATED_AT"))
         else:
             store.publish(name, batch)
-    return quality.summary(
-        checks(store.read("mapping"), store.published(CQRS), store.published(CHECKED))
-    )
+    return audit.summary(checked(store), CHECK_NAMES)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from ratesmith import constants as c
 from ratesmith.functions.period import ReportingPeriod
-from ratesmith.operators import mapping, publish, quality, rollup
+from ratesmith.operators import audit, mapping, publish, rollup
 from ratesmith.plans.store import Store
 from ratesmith.sources import reference, scans, sinks
 
@@ -33,28 +33,31 @@ def export_rows(
     return mapping.mapped_only(rows, mapping.mapping_as_of(memberships, period.end))
 
 
-def checks(waits: DataFrame, rounds: DataFrame) -> dict[str, DataFrame]:
-    """Offending rows of every check of the published tables."""
-    found = {
-        "waits: share": quality.breaches(
-            quality.numerator_share(waits, c.WAITS_NUMERATOR, c.WAITS_DENOMINATOR)
-        )
-    }
-    for name, table, expected, numerator in (
-        ("waits", waits, 2, c.WAITS_NUMERATOR),
-        ("rounds", rounds, 1, c.ROUNDS_NUMERATOR),
-    ):
-        found[f"{name}: attributes per organisation"] = quality.breaches(
-            quality.attribute_count(table, expected)
-        )
-        found[f"{name}: organisation count"] = quality.breaches(
-            quality.organisation_count(table)
-        )
-        found[f"{name}: month total"] = quality.breaches(quality.month_total(table, numerator))
-        found[f"{name}: organisation total"] = quality.breaches(
-            quality.organisation_total(table, numerator)
-        )
-    return found
+def _checks(table: str, expected: int, numerator: str) -> list[audit.Check]:
+    return [
+        audit.attributes(f"{table}: attributes per organisation", expected),
+        audit.organisations(f"{table}: organisation count"),
+        audit.month_total(f"{table}: month total", numerator),
+        audit.organisation_total(f"{table}: organisation total", numerator),
+    ]
+
+
+WAITS_CHECKS = [
+    audit.share("waits: share", c.WAITS_NUMERATOR, c.WAITS_DENOMINATOR),
+    *_checks("waits", 2, c.WAITS_NUMERATOR),
+]
+ROUNDS_CHECKS = _checks("rounds", 1, c.ROUNDS_NUMERATOR)
+OFFENDERS = "check_offenders"
+
+
+def checked(store: Store) -> DataFrame:
+    """Offending rows of every check, stored; each published table is read by one scan."""
+    parts = []
+    for indicator, wanted in ((c.WAITS_INDICATOR, WAITS_CHECKS), (c.ROUNDS_INDICATOR, ROUNDS_CHECKS)):
+        name = CONSUMERS[indicator][0]
+        cells = store.stage(f"check_cells_{name}", audit.cells(store.published(name), wanted))
+        parts.append(audit.offenders(cells, wanted))
+    return store.stage(OFFENDERS, audit.all_offenders(parts))
 
 
 def run(
@@ -64,7 +67,7 @@ def run(
     store: Store,
     created_at: datetime,
 ) -> DataFrame:
-    """Whole run; returns the summary of its checks."""
+    """Whole run; returns the summary of its checks; offending rows are in the store's `OFFENDERS`."""
     export = store.stage("export", export_rows(appointments, memberships, period, created_at))
     store.archive("archive", export)
     landing = publish.landing_rows(export)
@@ -73,8 +76,4 @@ def run(
         batch = sinks.read_routed(store.spark, store.path("landing"), indicator)
         for name in tables:
             store.publish(name, batch.select(*publish.LONG_COLUMNS))
-    waits, rounds = (
-        store.published(CONSUMERS[indicator][0])
-        for indicator in (c.WAITS_INDICATOR, c.ROUNDS_INDICATOR)
-    )
-    return quality.summary(checks(waits, rounds))
+    return audit.summary(checked(store), [check.name for check in WAITS_CHECKS + ROUNDS_CHECKS])

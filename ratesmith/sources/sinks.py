@@ -2,30 +2,33 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ratesmith.operators.publish import PUBLICATION_COLUMNS, replace_by_key
+from ratesmith.sources import versions
 
 DATE_COLUMN = "ACHIEVEMENT_DATE"
+BATCH = "BATCH"
 
 
 def overwrite(df: DataFrame, target: str) -> None:
-    """Replace a whole table, given by path or by catalog name."""
-    writer = df.write.mode("overwrite")
+    """Replace a whole table, given by path or by catalog name.
+
+    The old rows are there until the new ones are complete; `read` finds the current ones by path.
+    """
     if "/" in target:
-        writer.parquet(target)
+        versions.replace(df, target)
     else:
-        writer.saveAsTable(target)
+        versions.replace_catalog(df, target)
 
 
-def append(df: DataFrame, target: str) -> None:
-    writer = df.write.mode("append")
-    if "/" in target:
-        writer.parquet(target)
-    else:
-        writer.saveAsTable(target)
+def read(spark: SparkSession, target: str) -> DataFrame:
+    """A table that `overwrite` or Spark itself wrote, by path or by catalog name."""
+    return versions.read(spark, target) if "/" in target else spark.table(target)
 
 
 def insert(df: DataFrame, table: str, replace: bool = True) -> None:
@@ -58,6 +61,8 @@ def read_published(spark: SparkSession, target: str) -> DataFrame:
 
 def exists(spark: SparkSession, target: str) -> bool:
     """Whether a path holds a table already. A table that cannot be read is an error."""
+    if versions.current(spark, target):
+        return True
     try:
         spark.read.parquet(target)
     except AnalysisException as error:
@@ -97,14 +102,35 @@ def update_published(batch: DataFrame, target: str) -> None:
 
 
 def archive(batch: DataFrame, target: str) -> bool:
-    """Append the batch if it is newer than everything archived; says whether it was."""
-    spark = batch.sparkSession
-    newest = spark.read.parquet(target).agg(F.max("CREATED_AT")).first()[0]
-    arriving = batch.agg(F.max("CREATED_AT")).first()[0]
-    if arriving is None or (newest is not None and arriving <= newest):
+    """Add the batch if it is newer than everything archived; says whether it was added.
+
+    An archive has one folder per batch, named by its stamp. The names of the folders decide, so no
+    file of the archive is read; a batch becomes visible whole, in one rename, and a name is taken
+    once, so a batch that is offered again, by a writer that died or by another one, does not
+    double. An empty batch is not archived. The first batch starts the archive.
+    """
+    arriving = batch.agg(F.unix_micros(F.max("CREATED_AT"))).first()[0]
+    if arriving is None:
         return False
-    append(batch, target)
-    return True
+    name = batch_name(arriving)
+    if any(stamp >= name for stamp in archived(batch.sparkSession, target)):
+        return False
+    return versions.write_once(batch, target, f"{BATCH}={name}")
+
+
+def batch_name(micros: int) -> str:
+    """A stamp in UTC as text that sorts as the stamps do."""
+    return (datetime(1970, 1, 1) + timedelta(microseconds=micros)).strftime("%Y%m%dT%H%M%S%f")
+
+
+def archived(spark: SparkSession, target: str) -> list[str]:
+    """Names of an archive's batches in the order of their stamps."""
+    names = versions.Folder(spark, target).names()
+    return sorted(name.removeprefix(f"{BATCH}=") for name in names if name.startswith(f"{BATCH}="))
+
+
+def read_archive(spark: SparkSession, target: str) -> DataFrame:
+    return spark.read.parquet(target).drop(BATCH)
 
 
 def replace_publication(batch: DataFrame, target: str) -> None:

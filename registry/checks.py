@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ratesmith import constants as c
-from ratesmith.operators import diff, quality
+from ratesmith.operators import audit, diff, quality
+from ratesmith.sources.workspace import staged
 from registry.catalogue import register
 from registry.views import Tables
 
@@ -107,6 +108,45 @@ def dq_summary(t: Tables) -> DataFrame:
     })
 
 
+_AUDIT = [
+    audit.attributes("attributes", 2),
+    audit.share("share", c.WAITS_NUMERATOR, c.WAITS_DENOMINATOR),
+    audit.organisations("organisations"),
+    audit.month_total("month total", c.WAITS_NUMERATOR),
+    audit.month_total("month total, denominator", c.WAITS_DENOMINATOR),
+    audit.organisation_total("organisation total", c.WAITS_NUMERATOR),
+    audit.organisation_total_with_population(
+        "organisation total, population", c.WAITS_NUMERATOR, c.WAITS_DENOMINATOR),
+]
+_MONTHS = """
+SELECT ACHIEVEMENT_DATE, v, p, CASE WHEN p IS NULL THEN 0.0 ELSE ROUND(CAST(v - p AS DOUBLE) * 100 / NULLIF(p, 0), 6) END AS change,
+ ACHIEVEMENT_DATE = MAX(ACHIEVEMENT_DATE) OVER () AS latest
+FROM (SELECT *, LAG(v) OVER (ORDER BY ACHIEVEMENT_DATE) AS p FROM (SELECT ACHIEVEMENT_DATE, {value} AS v FROM {{fx_published}} {where} GROUP BY 1) a) x"""
+_MONTH_SUM = "CAST(SUM(CAST(ATTRIBUTE_VALUE AS BIGINT)) AS BIGINT)"
+
+
+def _month_audit(name: str, attribute: str) -> str:
+    months = _MONTHS.format(value=_MONTH_SUM, where=f"WHERE ATTRIBUTE_IDENTIFIER = {attribute}")
+    return (f"SELECT '{name}', NULL, ACHIEVEMENT_DATE, v, p, change FROM ({months}) m "
+            "WHERE EXTRACT(month FROM ACHIEVEMENT_DATE) <> 4 AND change <= 0")
+
+
+@register(f"""
+SELECT "check", ORG_ID, ACHIEVEMENT_DATE, CAST(value AS DOUBLE) AS value, CAST(compared AS DOUBLE) AS compared, CAST(change AS DOUBLE) AS change FROM (
+SELECT 'attributes' AS "check", ORG_ID, ACHIEVEMENT_DATE, COUNT(*) AS value, 2 AS compared, CAST(NULL AS DOUBLE) AS change FROM {{fx_published_second}} GROUP BY 2, 3 HAVING COUNT(*) <> 2
+UNION ALL SELECT 'share', ORG_ID, ACHIEVEMENT_DATE, numerator, denominator, ROUND(numerator / NULLIF(denominator, 0) * 100, 6) FROM ({_RATIO}) r WHERE numerator > denominator
+UNION ALL SELECT 'organisations', NULL, ACHIEVEMENT_DATE, v, p, change FROM ({_MONTHS.format(value='COUNT(DISTINCT ORG_ID)', where='')}) m WHERE latest AND NOT change BETWEEN -0.999999999 AND 0.999999999
+UNION ALL {_month_audit('month total', _NUM)} UNION ALL {_month_audit('month total, denominator', _DEN)}
+UNION ALL SELECT 'organisation total', ORG_ID, ACHIEVEMENT_DATE, TOTAL_ATTRIBUTE_VALUE, prev_month_value, perc_change FROM ({_ORG_TOTAL}) o WHERE perc_change < 0
+UNION ALL SELECT 'organisation total, population', o.ORG_ID, o.ACHIEVEMENT_DATE, TOTAL_ATTRIBUTE_VALUE, prev_month_value, perc_change FROM ({_ORG_TOTAL}) o
+ JOIN ({_ORG_POPULATION}) p ON p.ORG_ID = o.ORG_ID AND p.ACHIEVEMENT_DATE = o.ACHIEVEMENT_DATE WHERE perc_change < 0 AND pop_perc_change >= 5) z""".replace(
+    "{fx_published}", "{fx_published_second}"))
+def dq_audit(t: Tables) -> DataFrame:
+    """Offending rows of seven checks from one pass over a table with a third attribute."""
+    cells = staged(audit.cells(t["fx_published_second"], _AUDIT), "check_cells")
+    return _rounded(audit.offenders(cells, _AUDIT), "change")
+
+
 _COLUMNS = "ORG_ID, ACHIEVEMENT_DATE, DATA_REFERENCE_IDENTIFIER, ATTRIBUTE_IDENTIFIER, ATTRIBUTE_VALUE, ATTRIBUTE_TYPE"
 
 
@@ -154,6 +194,18 @@ def diff_unordered(t: Tables) -> DataFrame:
     return diff.row_differences(t.sql(_VALUES), t.sql(_VALUES_CHANGED))
 
 
+@register(f"""
+SELECT l_orderkey, measured, CAST(SUM(l) AS BIGINT) AS left_rows, CAST(SUM(r) AS BIGINT) AS right_rows
+FROM (SELECT l_orderkey, ROUND(measured) AS measured, 1 AS l, 0 AS r FROM ({_VALUES}) a UNION ALL SELECT l_orderkey, ROUND(measured), 0, 1 FROM ({_VALUES_CHANGED}) b) x
+GROUP BY 1, 2 HAVING SUM(l) <> SUM(r) OR isnan(measured)""")
+def diff_options(t: Tables) -> DataFrame:
+    """Both tables transformed alike, columns in any order, and NaN equal to nothing."""
+    return diff.table_differences(
+        t.sql(_VALUES), t.sql(_VALUES_CHANGED),
+        transforms=[lambda df: df.drop("l_suppkey"), lambda df: df.withColumn("measured", F.round("measured"))],
+        ignore_nullable=True, ignore_column_order=True)
+
+
 _PRICES = "SELECT o_orderkey, o_orderpriority, o_totalprice FROM {orders}"
 _PRICES_CHANGED = """
 SELECT o_orderkey, CASE WHEN o_orderkey % 71 = 0 THEN 'none' ELSE o_orderpriority END AS o_orderpriority,
@@ -204,3 +256,31 @@ def diff_schema(t: Tables) -> DataFrame:
         "l_note": F.when(F.col("l_returnflag") == "R", F.lit("returned")),
     }).drop("l_tax")
     return diff.schema_report(lines, changed)
+
+
+@register("""
+SELECT path, left_type, right_type, n AS left_rows, n AS right_rows FROM (VALUES ('line.l_tax', 'double', 'missing'), ('amounts[]', 'double', 'int')) p(path, left_type, right_type), (SELECT COUNT(*) AS n FROM {lineitem}) k""")
+def diff_schema_tree(t: Tables) -> DataFrame:
+    """Places inside structs and arrays where two versions of a nested table differ."""
+    lines = t["lineitem"].select("l_orderkey", F.struct("l_returnflag", "l_tax").alias("line"),
+                                 F.array("l_quantity", "l_extendedprice").alias("amounts"))
+    changed = lines.withColumn("line", F.col("line").dropFields("l_tax")).withColumn(
+        "amounts", F.col("amounts").cast("array<int>"))
+    return diff.tree_report(lines, changed)
+
+
+@register(f"""
+SELECT ACHIEVEMENT_DATE, TRUE AS near, TRUE AS near_overall FROM (SELECT DISTINCT ACHIEVEMENT_DATE FROM {{fx_published}}) m""")
+def dq_org_count_sketch(t: Tables) -> DataFrame:
+    """Organisations per month and in all from sketches, held against exact counts over all rows."""
+    rows = t["fx_published"]
+    sketches = staged(quality.organisation_sketches(rows), "sketches")
+    estimated = quality.organisation_count_from(sketches).select(
+        "ACHIEVEMENT_DATE", F.col("TOTAL_PRAC_COUNT").alias("estimate"))
+    exact = quality.organisation_count(rows).select("ACHIEVEMENT_DATE", "TOTAL_PRAC_COUNT")
+    overall = quality.all_organisations(sketches).select("organisations").scalar()
+    distinct = rows.agg(F.count_distinct("ORG_ID").alias("n")).scalar()
+    return exact.join(estimated, "ACHIEVEMENT_DATE").select(
+        "ACHIEVEMENT_DATE",
+        (F.abs(F.col("estimate") - F.col("TOTAL_PRAC_COUNT")) <= 0.05 * F.col("TOTAL_PRAC_COUNT")).alias("near"),
+        (F.abs(overall - distinct) <= 0.05 * distinct).alias("near_overall"))

@@ -137,7 +137,7 @@ def publication_replace(t: Tables) -> DataFrame:
     target = new_path(t.spark, "publication")
     sinks.replace_publication(rows.withColumn("VALUE", F.lit(0.0)), target)
     sinks.replace_publication(rows, target)
-    return t.spark.read.parquet(target)
+    return sinks.read(t.spark, target)
 
 
 # --- appointment exports --------------------------------------------------------------------
@@ -178,7 +178,7 @@ def sink_overwrite(t: Tables) -> DataFrame:
     target = new_path(t.spark, "overwrite")
     sinks.overwrite(b.late_batch(t), target)
     sinks.overwrite(b.published(t), target)
-    return b.stamp_text(t.spark.read.parquet(target))
+    return b.stamp_text(sinks.read(t.spark, target))
 
 
 @register(f"""
@@ -233,11 +233,11 @@ UNION ALL SELECT '2001-01-05 09:30:00', (SELECT COUNT(*) FROM {{fx_late_batch}})
 def archive_batches(t: Tables) -> DataFrame:
     """Batch sizes of an archive that was offered the same batch twice."""
     target = new_path(t.spark, "archive")
-    sinks.overwrite(b.published(t), target)
+    sinks.archive(staged(b.published(t), "published_batch"), target)
     batch = staged(b.late_batch(t), "late_batch")
     for _ in range(2):
         sinks.archive(batch, target)
-    return b.stamp_text(publish.batch_sizes(t.spark.read.parquet(target)))
+    return b.stamp_text(publish.batch_sizes(sinks.read_archive(t.spark, target)))
 
 
 @register("SELECT * FROM {fx_published} UNION ALL SELECT * FROM {fx_late_batch} UNION ALL SELECT * FROM {fx_published_second}")

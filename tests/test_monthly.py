@@ -39,14 +39,14 @@ def test_admissions_run_twice(spark, tables, rows):
     admissions.landing_tables(b.PERIOD, store, again)
     admissions.run(inputs, b.PERIOD, store, again)
     assert rows(store.published(admissions.CQRS).drop("CREATED_AT")) == before
-    assert store.read("archive_published_cqrs").count() == 2 * len(before)
+    assert store.archived("archive_published_cqrs").count() == 2 * len(before)
     assert store.read(admissions.PUBLICATION).count() == networks * 6
     assert "CREATED_AT" not in store.read(admissions.PUBLICATION).columns
     # a batch with the same stamp does not reach the archive again
     plain = {r["check"]: r.offenders for r in summary.collect()}
     hiding = admissions.run(inputs, b.PERIOD, store, again, suppress=True)
     assert {r["check"]: r.offenders for r in hiding.collect()} == plain
-    assert store.read("archive_published_cqrs").count() == 2 * len(before)
+    assert store.archived("archive_published_cqrs").count() == 2 * len(before)
     hidden = store.published(admissions.UDAL)
     crude = hidden.where(F.col("ATTRIBUTE_IDENTIFIER") == c.ADMISSIONS_CRUDE)
     assert crude.where("NOT (ATTRIBUTE_VALUE IN ('0', '*') OR ATTRIBUTE_VALUE % 5 = 0)").isEmpty()
@@ -66,4 +66,4 @@ def test_appointments_over_two_months(spark, tables):
     assert waits.where(F.col("DATA_REFERENCE_IDENTIFIER") != c.WAITS_INDICATOR).isEmpty()
     rounds = store.published("published_udal_rounds")
     assert rounds.groupBy("ORG_ID", "ACHIEVEMENT_DATE").count().where("count <> 1").isEmpty()
-    assert store.read("archive").count() == waits.count() + rounds.count()
+    assert store.archived("archive").count() == waits.count() + rounds.count()

@@ -100,12 +100,12 @@ def test_published_update_touches_only_its_dates(spark, rows):
 def test_archive_takes_newer_batches_only(spark, rows):
     target = new_path(spark, "test-archive")
     first, second = long_table(spark, ("A", D1, "x", "1")), long_table(spark, ("A", D2, "x", "2"), at=T2)
-    sinks.overwrite(first.limit(0), target)
+    assert not sinks.archive(first.limit(0), target)
     assert sinks.archive(first, target)
     assert not sinks.archive(first, target)
     assert sinks.archive(second, target)
     assert not sinks.archive(second.limit(0), target)
-    archive = spark.read.parquet(target)
+    archive = sinks.read_archive(spark, target)
     assert rows(publish.batch_sizes(archive)) == [(T1, 1), (T2, 1)]
     assert publish.append_if_newer(first.limit(0), second).count() == 1
     assert publish.append_if_newer(second, first).count() == 1

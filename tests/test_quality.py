@@ -1,6 +1,7 @@
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from ratesmith.operators import quality
 
@@ -69,3 +70,32 @@ def test_shares_and_counts(spark, rows):
 def test_repeated_practices(spark, rows):
     mapping = spark.createDataFrame([("A", "1"), ("A", "2"), ("B", "1")], "PRACTICE_CODE string, PCN_CODE string")
     assert rows(quality.repeated_practices(mapping)) == [("A", 2)]
+
+
+def test_sketches_count_like_the_rows(spark, rows):
+    early = [(str(i), M[0], "x", "1") for i in range(500)] + [(str(i), M[1], "x", "1") for i in range(250, 900)]
+    data = table(spark, *early, ("a", None, "x", "1"))
+    sketches = quality.organisation_sketches(data)
+    exact = {r.ACHIEVEMENT_DATE: r.TOTAL_PRAC_COUNT for r in quality.organisation_count(data).collect()}
+    for row in quality.organisation_count_from(sketches).collect():
+        assert row.TOTAL_PRAC_COUNT == pytest.approx(exact[row.ACHIEVEMENT_DATE], rel=0.05)
+    assert quality.all_organisations(sketches).first()[0] == pytest.approx(901, rel=0.05)
+    fresh = quality.organisation_sketches(table(spark, ("z", M[1], "x", "1"), ("b", None, "x", "1"), ("c", None, "x", "1")))
+    merged = quality.replace_sketches(sketches, fresh)
+    counts = {r.ACHIEVEMENT_DATE: r.TOTAL_PRAC_COUNT for r in quality.organisation_count_from(merged).collect()}
+    assert counts[M[1]] == 1 and counts[None] == 2 and counts[M[0]] == pytest.approx(500, rel=0.05)
+
+
+def test_stored_sketches_follow_a_publication(spark, tmp_path):
+    from ratesmith.plans.store import Store
+
+    store = Store(spark, str(tmp_path))
+    first = table(spark, *[(str(i), month, "x", "1") for i in range(50) for month in M[:2]]).withColumn(
+        "DATA_REFERENCE_IDENTIFIER", F.lit("r"))
+    store.publish("p", first)
+    store.sketch("p", first)
+    late = table(spark, *[(f"late{i}", M[1], "x", "1") for i in range(7)], ("A", M[2], "x", "1")).withColumn(
+        "DATA_REFERENCE_IDENTIFIER", F.lit("r"))
+    store.publish("p", late)
+    found = quality.organisation_count_from(store.sketch("p", late))
+    assert {r.ACHIEVEMENT_DATE: r.TOTAL_PRAC_COUNT for r in found.collect()} == {M[0]: 50, M[1]: 57, M[2]: 1}
