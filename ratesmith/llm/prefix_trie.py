@@ -100,9 +100,9 @@ def _whole_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _cuts_between_blocks(blocks: DataFrame, most: int) -> DataFrame:
-    """(conv_id, block, start, covers): name of the cut before each block of a long conversation.
+    """(conv_id, block, start, end, covers): names of the cuts around each block of a long conversation.
 
-    `covers` holds the later cuts whose upper half includes the block. `most` is the largest number
+    `end` is there after full blocks. `covers` holds the later cuts whose upper half includes the block. `most` is the largest number
     of blocks in a conversation.
     """
     size = F.size("digests")
@@ -131,7 +131,8 @@ def _cuts_between_blocks(blocks: DataFrame, most: int) -> DataFrame:
     covers = cuts.select(
         "conv_id", F.explode(inside).alias("block"), F.struct("block", "start").alias("cut")).groupBy(
         "conv_id", "block").agg(F.collect_list("cut").alias("covers"))
-    return starts.join(covers, ["conv_id", "block"], "left")
+    ends = starts.select("conv_id", (F.col("block") - 1).alias("block"), F.col("start").alias("end"))
+    return starts.join(covers, ["conv_id", "block"], "left").join(ends, ["conv_id", "block"], "left")
 
 
 class _Named:
@@ -140,8 +141,9 @@ class _Named:
     def __init__(self):
         self.turns, self.pairs = [], []
 
-    def add(self, conv_id, block, digests, sizes, last, start, covers) -> None:
+    def add(self, conv_id, block, digests, sizes, last, start, end, covers) -> None:
         names = _names_in(digests, start or ROOT)[0]
+        names[-1] = end or names[-1]  # the upper half that ends here may begin in an earlier block
         first = block * BLOCK_TURNS
         for at in range(1, len(names)):
             goes_on = first + at < last
@@ -191,7 +193,7 @@ def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield rows.batch()
 
 
-BLOCK_COLUMNS = ["conv_id", "block", "digests", "chars", "last", "start", "covers"]
+BLOCK_COLUMNS = ["conv_id", "block", "digests", "chars", "last", "start", "end", "covers"]
 NAMED = ("is_pair boolean, conv_id long, depth long, chars long, goes_on boolean, level int, "
          "a long, b long, up_a long, up_b long, cut_a long, cut_b long")
 
@@ -209,7 +211,8 @@ def named_turns(turns: DataFrame) -> DataFrame:
         cuts = _cuts_between_blocks(blocks.where(F.col("last") > BLOCK_TURNS), most)
         blocks = blocks.join(cuts, ["conv_id", "block"], "left")
     else:
-        blocks = blocks.withColumn("start", F.lit(None).cast("binary")).withColumn(
+        no_cut = F.lit(None).cast("binary")
+        blocks = blocks.withColumns({"start": no_cut, "end": no_cut}).withColumn(
             "covers", F.lit(None).cast("array<struct<block:long,start:binary>>"))
     return staged(blocks.mapInArrow(_named, NAMED), "named_turns")
 
