@@ -38,10 +38,10 @@ from ratesmith.sources.workspace import staged
 
 SAMPLE_VALUES = 1_280_000
 MOST_WORDS = 512
-CELL_VECTORS = 8
+CELL_VECTORS = 16
 ROUNDS = 8
 CALIBRATED = 2000
-TARGET_RECALL = 0.999
+TARGET_RECALL = 0.99
 BLOCK = 2048
 VISITORS = 1024
 SLACK = 1e-6
