@@ -109,9 +109,9 @@ def _halves(regions: DataFrame) -> DataFrame:
     Regions are given in the places of the shorter word; `side` is 1 for words one longer.
     """
     middle = F.floor((F.col("lo") + F.col("hi")) / 2).cast("int")
-    # a region of one place: the code point is inserted before or after it
+    # a region of one place: the code point there is replaced, or one is inserted before or after it
     single = F.col("hi") - F.col("lo") == 1
-    parts = F.when(single, F.array(F.struct(F.col("lo").alias("lo"), F.col("lo").alias("hi")),
+    parts = F.when(single & ~F.col("inserts"), F.array(F.struct("lo", "hi"))).when(single, F.array(F.struct(F.col("lo").alias("lo"), F.col("lo").alias("hi")),
                                    F.struct(F.col("hi").alias("lo"), F.col("hi").alias("hi")))).otherwise(
         F.array(F.struct(F.col("lo").alias("lo"), middle.alias("hi")),
                 F.struct(middle.alias("lo"), F.col("hi").alias("hi"))))
