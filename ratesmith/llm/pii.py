@@ -28,11 +28,12 @@ from ratesmith.sources.workspace import staged
 
 KINDS = ("email", "ip", "card", "phone")
 # Fixed patterns of the base spans. A search goes on only where a run of a pattern's first
-# characters begins or the last match ended, which finds the same spans without rescanning runs.
+# characters begins or the last match ended, which finds the same spans without rescanning runs. The
+# last groups are possessive: nothing follows them, and a long one is a loop, not a recursion.
 BASE = {
-    "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)++",
     "ip": r"(?:\G|(?<![0-9]))[0-9]++(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
-    "card": r"[0-9]([\x20-]?[0-9])+",
+    "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 # An address with spaces around plain dots is tried last, or the next sentence would belong to it.
