@@ -22,6 +22,9 @@ from pyspark.sql import DataFrame, functions as F
 SEQUENCE = 2048
 END_ID = 1
 LATIN = re.compile("[\x00-\u024f]*").fullmatch
+#: Runs of white space from this length go through the tokenizer file, as the splitting pattern of the
+#: ranked vocabulary keeps a place to return to for each blank and fails beyond about 700,000.
+LONG_BLANK = re.compile(r"\s{10000}").search
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
@@ -40,7 +43,8 @@ class Encoder:
     """Ids of a text, as little-endian unsigned 32-bit numbers.
 
     Texts of Latin characters (below U+0250), where both libraries split alike, go through the same
-    vocabulary as ranks, which is several times faster; all other texts through the tokenizer file.
+    vocabulary as ranks, which is several times faster; all other texts, and those with very long runs
+    of white space, through the tokenizer file.
     """
 
     def __init__(self, tokenizer: str, ranks: str | None, pattern: str | None):
@@ -51,7 +55,7 @@ class Encoder:
         self.fast = ranks and ranked_vocabulary(ranks, pattern)
 
     def ids(self, text: str) -> bytes:
-        if self.fast and LATIN(text):
+        if self.fast and LATIN(text) and not LONG_BLANK(text):
             return self.fast.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes()
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
