@@ -177,10 +177,14 @@ def mixed_documents(documents: DataFrame) -> DataFrame:
              F.sum("words").alias("words"))
     )
     found = F.regexp_extract_all("text", F.lit("[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+"), F.lit(0))
-    cut = F.array_join(F.flatten(F.transform(
-        "parts", lambda part: F.slice("found", (part["first_word"] + 1).cast("int"), part["words"].cast("int")))), "")
+
+    def cut(words: Column) -> Column:
+        return F.array_join(F.flatten(F.transform(
+            "parts", lambda part: F.slice(words, (part["first_word"] + 1).cast("int"), part["words"].cast("int")))), "")
+
     columns = [name for name in documents.columns if name != ROW]
     whole = F.col("words") == F.regexp_count("text", F.lit(WORD_PATTERN))
     joined = documents.join(parts, ROW)
-    return joined.withColumn("found", F.when(~whole, found)).withColumn(
-        "text", F.when(whole, F.col("text")).otherwise(cut)).select(*columns)
+    # a lambda's argument is evaluated once, whereas a column would be put into every part's expression
+    text = F.get(F.transform(F.array(found), cut), F.lit(0))
+    return joined.withColumn("text", F.when(whole, F.col("text")).otherwise(text)).select(*columns)
