@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ratesmith.sources.workspace import staged
 
 ROW = "row_number"
+FILE_ROWS_BITS = 40
+_PLACE, _FILE, _NUMBER = "place_in_file", "numbered_file", "file_number"
 #: The white space the operators know: space and U+0009 to U+000D.
 SPACES = " \t\n\x0b\x0c\r"
 WORD_PATTERN = "[^\\x20\\x09-\\x0D]+"
@@ -24,8 +27,34 @@ def numbered(docs: DataFrame, *columns: str) -> DataFrame:
 
 
 def numbered_documents(docs: DataFrame) -> DataFrame:
-    """Whole documents, written once with row numbers, so that decisions can be joined to them."""
-    return staged(numbered(docs), "documents")
+    """Whole documents with row numbers that every evaluation repeats, so that decisions can be joined.
+
+    A stored table's rows are numbered by file and place in the file, and are not written again. The
+    numbers of its files, one row per file, are all that is broadcast. Other frames are written once.
+    """
+    place = _place_in_file(docs)
+    if place is None:
+        return staged(numbered(docs), "documents")
+    located = docs.select("*", place.alias(_PLACE))
+    order = Window.orderBy("path")  # one row per file
+    files = staged(located.select(F.col(f"{_PLACE}.file_path").alias("path")).distinct().select(
+        F.col("path").alias(_FILE), (F.row_number().over(order) - 1).cast("long").alias(_NUMBER)), "files")
+    return located.join(F.broadcast(files), F.col(f"{_PLACE}.file_path") == F.col(_FILE)).select(
+        *(docs[name] for name in docs.columns),
+        (F.shiftleft(F.col(_NUMBER), FILE_ROWS_BITS) + F.col(f"{_PLACE}.row_index")).alias(ROW))
+
+
+def _place_in_file(docs: DataFrame) -> Column | None:
+    """File and row of a plain scan of stored rows; None for anything else."""
+    if not docs._jdf.queryExecution().analyzed().children().isEmpty():
+        return None
+    try:
+        metadata = docs.metadataColumn("_metadata")
+        place = F.struct(metadata["file_path"].alias("file_path"), metadata["row_index"].alias("row_index"))
+        docs.select(place)
+        return place
+    except AnalysisException:
+        return None
 
 
 def rows_kept(documents: DataFrame, kept: DataFrame) -> DataFrame:
