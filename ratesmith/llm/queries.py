@@ -95,7 +95,9 @@ def op7_exact_copies(spark, folder):
 
 @query
 def op8_repeated_passages(spark, folder):
-    return repeats.without_repeats(documents(spark, folder)).drop("kept", "spans")
+    report = repeats.without_repeats(documents(spark, folder))
+    # what stays of the text; a cut inside a code point leaves U+FFFD
+    return report.withColumn("text", F.make_valid_utf8(F.col("kept").cast("string"))).drop("kept", "spans")
 
 
 @query

@@ -53,7 +53,7 @@ def test_removed_bytes(spark, unit_bytes):
     assert found == plain(texts)
 
 
-def test_texts_longer_than_a_chunk(spark, monkeypatch):
+def test_longer_texts(spark):
     texts = corpus()
     docs = spark.createDataFrame([(0, texts[12] * 3), (1, texts[11])], "doc_id long, text string")
     rows = sorted(repeats.without_repeats(docs).collect())
