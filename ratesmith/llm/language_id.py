@@ -5,11 +5,12 @@ symbol seen `c` times of `n`, among `d` distinct ones, has probability c / (n +
 mass d / (n + d) goes to the other symbols in proportion to the next shorter context, so the
 probabilities of a context add up to one and their logarithms are exact code lengths. Below the
 empty context all bytes are alike. The statistics are frozen after training; the language with the
-shortest code wins, ties go to the first in order.
+shortest code wins, ties go to the first in order. Lengths are summed in double precision from
+numbers in single precision.
 
 Training reads a bounded sample: about `SAMPLE_DOCUMENTS` whole texts per language, chosen by a
-hash of doc_id, with contexts counted by Spark. The table of code lengths holds at most
-`TABLE_CELLS` numbers (context x symbol x language), the most frequent contexts first.
+hash of doc_id, with contexts counted by Spark. All contexts that occur `LEAST_CONTEXT` times in the
+sample are kept, however many languages and byte values there are; the model grows with the sample.
 
 NULL texts and texts without a letter are `und` with score 0. Without training rows every text is
 `und`. Texts are lower-cased before they are coded. The score is the posterior of the language
@@ -29,7 +30,6 @@ from ratesmith.llm.common import LETTERS, fold
 
 ORDER = 4
 SAMPLE_DOCUMENTS = 300
-TABLE_CELLS = 4_000_000
 LEAST_CONTEXT = 4
 SLICE = 1 << 20
 SEPARATOR = b"\x00" * ORDER
@@ -70,56 +70,114 @@ def training_counts(labelled: DataFrame, documents: int = SAMPLE_DOCUMENTS) -> D
 
 @dataclass
 class Model:
+    """Contexts are numbered, the empty one is 0; a pair is a context and a symbol seen in it.
+
+    Only what was seen is stored, whatever the number of languages: a symbol that no language has in
+    a context costs the context's escape and what it costs in the next shorter one.
+    """
+
     languages: list[str]
     symbols: np.ndarray  # byte -> symbol
-    children: np.ndarray  # context, symbol before it -> longer context; the last row has none
-    bits: np.ndarray  # context, symbol, language -> code length
-
-
-def build(counts, cells: int = TABLE_CELLS) -> Model:
-    """Model from rows (lang, width, code, n); in a code the last byte is the lowest."""
-    languages = sorted(set(counts["lang"]))
-    number = {lang: i for i, lang in enumerate(languages)}
-    seen = sorted({int(code) for code, width in zip(counts["code"], counts["width"]) if width == 1})
-    symbols = np.full(256, len(seen), np.int64)
-    symbols[seen] = np.arange(len(seen))
-    size = len(seen) + 1
-    uniform = np.full(size, 1 / 256)
-    uniform[-1] = (256 - len(seen)) / 256
-    # context (length, code) -> language -> symbol -> count
-    table: dict[tuple[int, int], dict[int, dict[int, int]]] = {}
-    totals: dict[tuple[int, int], int] = {}
-    for lang, width, code, n in zip(counts["lang"], counts["width"], counts["code"], counts["n"]):
-        context = (width - 1, code >> 8)
-        table.setdefault(context, {}).setdefault(number[lang], {})[symbols[code & 255]] = n
-        totals[context] = totals.get(context, 0) + n
-    most = max(1, cells // (size * max(1, len(languages))))
-    ranked = sorted((c for c in table if c[0] == 0 or totals[c] >= LEAST_CONTEXT),
-                    key=lambda c: (-totals[c] if c[0] else -float("inf"), c[0], c[1]))[:most]
-    place: dict[tuple[int, int], int] = {}
-    for context in sorted(ranked):
-        length, code = context
-        shorter = (length - 1, code & ((1 << 8 * (length - 1)) - 1)) if length else None
-        if length == 0 or shorter in place:
-            place[context] = len(place)
-    children = np.full((len(place) + 1, size), len(place), np.int32)
-    odds = np.zeros((len(place) + 1, size, len(languages)))
-    odds[:] = uniform[:, None]
-    for (length, code), at in place.items():
+    children: np.ndarray  # context, symbol before it -> longer context, or -1
+    parents: np.ndarray  # context -> the next shorter one
+    pairs: np.ndarray  # context, symbol -> pair, or -1
+    costs: np.ndarray  # pair, language -> bits
+    escapes: np.ndarray  # context, language -> bits
+
+
+def _contexts(counts, least: int) -> list[np.ndarray]:
+    """Codes of the contexts of each length that occur `least` times in all, ascending."""
+    kept = [np.zeros(1, np.int64)]
+    for length in range(1, ORDER + 1):
+        own = counts["width"] == length + 1
+        codes, places = np.unique(counts["code"][own] >> 8, return_inverse=True)
+        totals = np.bincount(places, counts["n"][own], len(codes)) if len(codes) else np.zeros(0)
+        kept.append(codes[totals >= least])
+    return kept
+
+
+def build(counts, least: int = LEAST_CONTEXT) -> Model:
+    """Model from arrays lang, width, code, n; in a code the last byte is the lowest.
+
+    Contexts are built length by length: what a symbol costs in a shorter one is known by then.
+    """
+    counts = {name: np.asarray(values) for name, values in counts.items()}
+    languages = sorted(set(counts["lang"].tolist()))
+    number = np.searchsorted(np.array(languages, object), counts["lang"]) if languages else np.zeros(0, np.int64)
+    seen = np.unique(counts["code"][counts["width"] == 1]) if languages else np.zeros(0, np.int64)
+    symbols = np.full(256, len(seen), np.int32)
+    symbols[seen.astype(np.int64)] = np.arange(len(seen))
+    size, many = len(seen) + 1, len(languages)
+    codes = _contexts(counts, least) if languages else [np.zeros(1, np.int64)]
+    firsts = np.cumsum([0] + [len(own) for own in codes])
+    total = int(firsts[-1])
+    children, pairs = np.full((total, size), -1, np.int32), np.full((total, size), -1, np.int32)
+    parents, factors = np.zeros(total, np.int32), np.ones((total, many))
+    odds = np.zeros((0, many))
+
+    def probability(nodes: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+        factor, nodes = np.ones((len(nodes), many)), nodes.copy()
+        open_ = np.flatnonzero(pairs[nodes, wanted] < 0)
+        while len(open_):
+            factor[open_] *= factors[nodes[open_]]
+            nodes[open_] = parents[nodes[open_]]
+            open_ = open_[pairs[nodes[open_], wanted[open_]] < 0]
+        return factor * odds[pairs[nodes, wanted]]
+
+    for length, own_codes in enumerate(codes):
+        if not len(own_codes) or not many:
+            continue
+        nodes = firsts[length] + np.arange(len(own_codes))
+        rows = counts["width"] == length + 1
+        code, lang, n = counts["code"][rows], number[rows], counts["n"][rows]
+        at = np.searchsorted(own_codes, code >> 8)
+        known = (at < len(own_codes)) & (own_codes[np.minimum(at, len(own_codes) - 1)] == code >> 8)
+        at, symbol, lang, n = at[known], symbols[code[known] & 255], lang[known], n[known]
+        if length:
+            shorter = own_codes & ((1 << 8 * (length - 1)) - 1)
+            parents[nodes] = firsts[length - 1] + np.searchsorted(codes[length - 1], shorter)
+            children[parents[nodes], symbols[own_codes >> 8 * (length - 1)]] = nodes
+            keys = np.unique(at * size + symbol)
+        else:
+            keys = np.arange(size)  # the empty context holds every symbol
+        own, wanted = keys // size, keys % size
+        seen_times = np.zeros((len(keys), many))
+        seen_times[np.searchsorted(keys, at * size + symbol), lang] = n
         if length:
-            parent = place[length - 1, code & ((1 << 8 * (length - 1)) - 1)]
-            children[parent, symbols[code >> 8 * (length - 1)]] = at
-            odds[at] = odds[parent]
-        for lang, found in table[length, code].items():
-            own, given = list(found), odds[at, :, lang].copy()
-            n, d = sum(found.values()), len(found)
-            given[own] = 0
-            rest = given.sum()
-            odds[at, :, lang] = given * (d / (n + d) / rest) if rest > 0 else 0
-            odds[at, own, lang] = np.array(list(found.values())) / (n + d if rest > 0 else n)
-    odds[:, -1] /= max(1, 256 - len(seen))
-    bits = -np.log2(np.maximum(odds, 1e-12))
-    return Model(languages, symbols.astype(np.int32), children, bits.astype(np.float32))
+            given = probability(parents[nodes[own]], wanted)
+        else:
+            given = np.full((size, many), 1 / 256)
+            given[-1] = (256 - len(seen)) / 256
+        sums, kinds, taken = (np.zeros((len(nodes), many)) for _ in range(3))
+        np.add.at(sums, own, seen_times)
+        np.add.at(kinds, own, seen_times > 0)
+        np.add.at(taken, own, given * (seen_times > 0))
+        rest = 1 - taken
+        some, left = sums > 0, rest > 1e-9
+        mass = np.where(some & left, sums + kinds, np.maximum(sums, 1))
+        factors[nodes] = np.where(some, np.where(left, kinds / np.maximum(sums + kinds, 1) / np.where(left, rest, 1), 0), 1)
+        pairs[nodes[own], wanted] = len(odds) + np.arange(len(keys))
+        odds = np.concatenate([odds, np.where(seen_times > 0, seen_times / mass[own], given * factors[nodes[own]])])
+    if many:
+        odds[pairs[0, -1]] /= max(1, 256 - len(seen))  # one byte of those never seen
+    bits = [(-np.log2(np.maximum(values, 1e-12))).astype(np.float32) for values in (odds, factors)]
+    return Model(languages, symbols, children, parents, pairs, *bits)
+
+
+def _bits(model: Model, contexts: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+    """Bits of each symbol in its context, per language."""
+    found = model.pairs[contexts, symbols]
+    bits = model.costs[found]
+    open_ = np.flatnonzero(found < 0)
+    spent, nodes = np.zeros((len(open_), bits.shape[1]), np.float32), contexts[open_]
+    while len(open_):
+        spent += model.escapes[nodes]
+        nodes = model.parents[nodes]
+        found = model.pairs[nodes, symbols[open_]]
+        there = found >= 0
+        bits[open_[there]] = spent[there] + model.costs[found[there]]
+        open_, nodes, spent = open_[~there], nodes[~there], spent[~there]
+    return bits
 
 
 def code_lengths(model: Model, texts: list[bytes]) -> np.ndarray:
@@ -128,15 +186,15 @@ def code_lengths(model: Model, texts: list[bytes]) -> np.ndarray:
     sizes = np.array([len(text) for text in texts], np.int64)
     starts = ORDER + np.concatenate([[0], np.cumsum(sizes + ORDER)[:-1]])
     data = model.symbols[np.frombuffer(SEPARATOR + SEPARATOR.join(texts) + SEPARATOR, np.uint8)]
-    none = len(model.children) - 1
     for first in range(ORDER, len(data), SLICE):
         last = min(len(data), first + SLICE)
         context = np.zeros(last - first, np.int32)
         node = context
         for back in range(1, ORDER + 1):
-            node = model.children[node, data[first - back:last - back]]
-            context = np.where(node != none, node, context)
-        lengths = model.bits[context, data[first:last]]
+            # a context that is not there has no longer one either
+            node = np.where(node >= 0, model.children[node, data[first - back:last - back]], -1)
+            context = np.where(node >= 0, node, context)
+        lengths = _bits(model, context, data[first:last])
         totals = np.concatenate([np.zeros((1, sums.shape[1])), np.cumsum(lengths, 0, np.float64)])
         begin, end = np.clip(starts, first, last) - first, np.clip(starts + sizes, first, last) - first
         sums += totals[end] - totals[begin]
@@ -156,12 +214,13 @@ def predict(model: Model, texts: list[str | None]) -> tuple[list[str], list[floa
     return languages, scores
 
 
-def train(labelled: DataFrame, documents: int = SAMPLE_DOCUMENTS, cells: int = TABLE_CELLS) -> Model:
+def train(labelled: DataFrame, documents: int = SAMPLE_DOCUMENTS) -> Model:
     """Model from rows with doc_id, lang and text; the counts it collects come from the sample."""
     usable = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     counts = training_counts(usable, documents).toArrow().sort_by(
         [("lang", "ascending"), ("width", "ascending"), ("code", "ascending")])
-    return build({name: counts[name].to_pylist() for name in counts.column_names}, cells)
+    return build({name: np.array(counts[name].to_pylist(), object if name == "lang" else np.int64)
+                  for name in counts.column_names})
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
