@@ -1,13 +1,14 @@
 """Toxicity by non-negative positive-unlabelled learning.
 
 A linear model over the words of a text and their beginnings (four to seven letters, which hold
-stems together) is trained from confirmed toxic texts (P) and texts
-without regard to their labels (U) with the risk
+stems together), and over beginnings that several of its words share, is trained from confirmed toxic
+texts (P) and texts without regard to their labels (U) with the risk
     prior * E_P[loss(+)] + max(0, E_U[loss(-)] - prior * E_P[loss(-)]),
 where the prior is the toxic share of the labelled training rows; where the second part falls
-below zero, the step goes the other way. Training reads bounded samples of whole texts
-(`POSITIVES` and `UNLABELLED`, by a hash of doc_id). Features are held by at least
-`LEAST_DOCUMENTS` toxic texts, and by more of them than of the unlabelled ones by `LEAST_LIFT`
+below zero, the step goes the other way. A step reads the whole sample: in small parts the number of
+toxic texts among U varies so much that the sign of the second part is chance. Training reads bounded
+samples of whole texts (`POSITIVES` and `UNLABELLED`, by a hash of doc_id). Features are held by at
+least `LEAST_DOCUMENTS` toxic texts, and by more of them than of the unlabelled ones by `LEAST_LIFT`
 standard deviations; the `VOCABULARY` strongest are used, with weights of zero or more.
 
 NULL and empty texts get the model's constant. Without toxic training rows every score is 0.
@@ -30,14 +31,14 @@ from ratesmith.llm.common import fold
 POSITIVES = 3000
 UNLABELLED = 12000
 VOCABULARY = 1000
-LEAST_DOCUMENTS = 6
+LEAST_DOCUMENTS = 3
 LEAST_LIFT = 8.0
 BEGINNINGS = range(4, 8)
+SHARED = (2, 4)
 CACHED_WORDS = 200_000
-EPOCHS = 40
-BATCHES = 20
+STEPS = 400
 RATE = 0.05
-DECAY = 3e-4
+DECAY = 1e-4
 SEED = 5
 WORDS = re.compile(r"[^\W\d_]+")
 SCHEMA = "doc_id long, held_out boolean, score double, predicted int"
@@ -48,12 +49,19 @@ def features(word: str) -> set[str]:
     return {word[:n] for n in BEGINNINGS if n <= len(word)} | {f"{word}."}
 
 
+def held_features(words: dict[str, int]) -> set[str]:
+    """Features of a text from the number of its words that have each feature of a word."""
+    return {name if least == 1 else f"{name}*{least}"
+            for name, n in words.items() for least in (1, *SHARED) if n >= least}
+
+
 class Known(dict):
     """The features of a word that a model knows; most words have none."""
 
     def __init__(self, names):
         super().__init__()
-        self.names = names
+        self.held = set(names)
+        self.names = {name.partition("*")[0] for name in names}
 
     def __missing__(self, word: str) -> tuple[str, ...]:
         found = tuple(sorted(features(word) & self.names))
@@ -63,7 +71,8 @@ class Known(dict):
         return found
 
     def of(self, text: str | None) -> set[str]:
-        return {name for word in set(WORDS.findall((text or "").lower())) for name in self[word]}
+        counts = Counter(name for word in set(WORDS.findall((text or "").lower())) for name in self[word])
+        return held_features(counts) & self.held
 
 
 @dataclass
@@ -88,8 +97,8 @@ def _indexed(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, int]:
 
 def chosen_features(toxic: list[str], other: list[str]) -> list[str]:
     """Features that mark toxic texts, the strongest first."""
-    held = Counter(name for text in toxic for name in set().union(
-        *map(features, set(WORDS.findall((text or "").lower())))))
+    held = Counter(name for text in toxic for name in held_features(Counter(
+        own for word in set(WORDS.findall((text or "").lower())) for own in features(word))))
     held = {name: n for name, n in held.items() if n >= LEAST_DOCUMENTS}
     known = Known(held.keys())
     usual = Counter(name for text in other for name in known.of(text))
@@ -140,22 +149,14 @@ def fit(toxic: list[str], other: list[str], prior: float) -> Model:
              for texts in (toxic, other)]
     weights, constant = np.zeros(len(place)), float(np.log(prior / (1 - min(prior, 0.99))))
     moments = [np.zeros(len(place) + 1), np.zeros(len(place) + 1)]
-    draw, step = np.random.default_rng(SEED), 0
-    for _ in range(EPOCHS):
-        parts = []
-        for texts in sides:
-            order = np.array_split(draw.permutation(len(texts)), BATCHES)
-            parts.append([_indexed([texts[i] for i in own]) for own in order])
-        for toxic_part, other_part in zip(*parts):
-            if not toxic_part[2] or not other_part[2]:
-                continue
-            step += 1
-            gradient, slope = _risk_step(weights, constant, prior, toxic_part, other_part)
-            full = np.append(gradient + DECAY * weights, slope)
-            moments[0] = 0.9 * moments[0] + 0.1 * full
-            moments[1] = 0.999 * moments[1] + 0.001 * full**2
-            change = RATE * (moments[0] / (1 - 0.9**step)) / (np.sqrt(moments[1] / (1 - 0.999**step)) + 1e-8)
-            weights, constant = np.maximum(0, weights - change[:-1]), constant - change[-1]
+    toxic_part, other_part = map(_indexed, sides)
+    for step in range(1, STEPS + 1):
+        gradient, slope = _risk_step(weights, constant, prior, toxic_part, other_part)
+        full = np.append(gradient + DECAY * weights, slope)
+        moments[0] = 0.9 * moments[0] + 0.1 * full
+        moments[1] = 0.999 * moments[1] + 0.001 * full**2
+        change = RATE * (moments[0] / (1 - 0.9**step)) / (np.sqrt(moments[1] / (1 - 0.999**step)) + 1e-8)
+        weights, constant = np.maximum(0, weights - change[:-1]), constant - change[-1]
     return Model(float(constant), {word: float(weights[i]) for word, i in place.items()})
 
 
