@@ -19,6 +19,9 @@ from ratesmith.llm.common import ROW, numbered
 from ratesmith.sources.workspace import staged
 
 
+RESULT = ("host", "matched_key", "action", "kept")
+
+
 def intervals(entries: DataFrame) -> DataFrame:
     """Entry rows (key, action, change, day) as key, action, first and end (exclusive, NULL open).
 
@@ -63,13 +66,18 @@ def active_entries(points: DataFrame, entries: DataFrame) -> DataFrame:
 
 
 def judge(captures: DataFrame, entries: DataFrame, *columns: str) -> DataFrame:
-    """Captures (url, fetch_day and `columns`) with host, matched key, action and kept."""
-    rows = staged(with_keys(numbered(captures, *dict.fromkeys([*columns, "url", "fetch_day"]))), "captures")
+    """Captures (url, fetch_day and `columns`) with host, matched key, action and kept.
+
+    A given column with the name of one of these four is returned as `given_` and that name.
+    """
+    given = [F.col(name).alias(f"column_{i}") for i, name in enumerate(columns)]
+    rows = staged(with_keys(numbered(captures.select("url", "fetch_day", *given))), "captures")
+    names = [f"given_{name}" if name in RESULT else name for name in columns]
     wanted = rows.select(ROW, "fetch_day", F.explode("keys").alias("key"))
     points = wanted.select("key", "fetch_day").distinct()
     verdicts = active_entries(points, entries)
     best = wanted.join(verdicts, ["key", "fetch_day"]).groupBy(ROW).agg(
         F.max_by(F.struct("key", "action"), F.length("key")).alias("best"))
     return rows.join(best, ROW, "left").select(
-        *columns, "host", F.col("best.key").alias("matched_key"), F.col("best.action").alias("action"),
+        *(F.col(f"column_{i}").alias(name) for i, name in enumerate(names)), "host", F.col("best.key").alias("matched_key"), F.col("best.action").alias("action"),
         (F.coalesce(F.col("best.action"), F.lit("allow")) != "block").alias("kept"))
