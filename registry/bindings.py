@@ -41,12 +41,23 @@ def practice_mapping(t: Tables) -> DataFrame:
     return mapping.mapping_as_of(t["fx_mapping_history"], PERIOD.end)
 
 
-_wide_tables: dict[tuple[str, str], str] = {}
+_wide_tables: dict[tuple, str] = {}
+
+
+def _state(t: Tables, *tables: str) -> tuple:
+    """Names, lengths and times of the files of given tables."""
+    hadoop, configuration = t.spark._jvm.org.apache.hadoop.fs, t.spark._jsc.hadoopConfiguration()
+    found = []
+    for name in tables:
+        path = hadoop.Path(f"{t.folder}/{name}.parquet")
+        found += [(status.getPath().toString(), status.getLen(), status.getModificationTime())
+                  for status in path.getFileSystem(configuration).listStatus(path)]
+    return tuple(sorted(found))
 
 
 def wide_list_size(t: Tables) -> DataFrame:
-    """The wide population table as stored input, written once per session and folder."""
-    key = (t.spark.sparkContext.applicationId, t.folder)
+    """The wide population table as stored input, written once per session and state of its source."""
+    key = (t.spark.sparkContext.applicationId, _state(t, "lineitem"))
     if key not in _wide_tables:
         path = new_path(t.spark, "wide_list_size")
         _pivoted_list_size(t).write.parquet(path)

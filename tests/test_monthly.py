@@ -42,6 +42,11 @@ def test_admissions_run_twice(spark, tables, rows):
     assert store.archived("archive_published_cqrs").count() == 2 * len(before)
     assert store.read(admissions.PUBLICATION).count() == networks * 6
     assert "CREATED_AT" not in store.read(admissions.PUBLICATION).columns
+    # the offending rows themselves are stored
+    listed = {r["check"]: r["count"] for r in store.read(admissions.OFFENDERS).groupBy("check").count().collect()}
+    assert listed == {r["check"]: r.offenders for r in summary.collect() if r.offenders}
+    assert [r["check"] for r in summary.collect() if r["check"] not in admissions.CHECK_NAMES] == []
+    assert len(passed) == len(admissions.CHECK_NAMES) == 2 + 8 + 12
     # a batch with the same stamp does not reach the archive again
     plain = {r["check"]: r.offenders for r in summary.collect()}
     hiding = admissions.run(inputs, b.PERIOD, store, again, suppress=True)
