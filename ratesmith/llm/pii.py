@@ -66,10 +66,16 @@ def _hits(kind: str, base: bool, pattern: str) -> Column:
     """Matches with the length of the text before each, and some of the text around."""
     found = F.regexp_extract_all("text", F.lit(pattern), F.lit(0))
     between = F.split("text", pattern, -1)
-    hits = F.transform(found, lambda match, i: F.struct(
-        F.length(F.get(between, i)).alias("gap"), match.alias("match"),
-        F.right(F.get(between, i), F.lit(24)).alias("before"),
-        F.left(F.get(between, i + 1), F.lit(8)).alias("after")))
+
+    def placed(both: Column) -> Column:
+        return F.transform(both["found"], lambda match, i: F.struct(
+            F.length(F.get(both["between"], i)).alias("gap"), match.alias("match"),
+            F.right(F.get(both["between"], i), F.lit(24)).alias("before"),
+            F.left(F.get(both["between"], i + 1), F.lit(8)).alias("after")))
+
+    # a lambda's argument is evaluated once, a column inside a lambda once per match
+    both = F.struct(found.alias("found"), between.alias("between"))
+    hits = F.get(F.transform(F.array(both), placed), F.lit(0))
     return F.struct(F.lit(kind).alias("kind"), F.lit(base).alias("base"), hits.alias("hits"))
 
 
