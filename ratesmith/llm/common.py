@@ -11,7 +11,6 @@ from ratesmith.sources.workspace import staged
 
 ROW = "row_number"
 FILE_ROWS_BITS = 40
-_PLACE, _FILE, _NUMBER = "place_in_file", "numbered_file", "file_number"
 #: The white space the operators know: space and U+0009 to U+000D.
 SPACES = " \t\n\x0b\x0c\r"
 WORD_PATTERN = "[^\\x20\\x09-\\x0D]+"
@@ -35,13 +34,21 @@ def numbered_documents(docs: DataFrame) -> DataFrame:
     place = _place_in_file(docs)
     if place is None:
         return staged(numbered(docs), "documents")
-    located = docs.select("*", place.alias(_PLACE))
-    order = Window.orderBy("path")  # one row per file
-    files = staged(located.select(F.col(f"{_PLACE}.file_path").alias("path")).distinct().select(
-        F.col("path").alias(_FILE), (F.row_number().over(order) - 1).cast("long").alias(_NUMBER)), "files")
-    return located.join(F.broadcast(files), F.col(f"{_PLACE}.file_path") == F.col(_FILE)).select(
-        *(docs[name] for name in docs.columns),
-        (F.shiftleft(F.col(_NUMBER), FILE_ROWS_BITS) + F.col(f"{_PLACE}.row_index")).alias(ROW))
+    at, path, number = (_free(docs, name) for name in ("place_in_file", "path_of_file", "number_of_file"))
+    located = docs.select("*", place.alias(at))
+    order = Window.orderBy(path)  # one row per file
+    files = staged(located.select(F.col(f"{at}.file_path").alias(path)).distinct().select(
+        path, (F.row_number().over(order) - 1).cast("long").alias(number)), "files")
+    return located.join(F.broadcast(files), F.col(f"{at}.file_path") == F.col(path)).select(
+        *(docs[name] for name in docs.columns if name != ROW),
+        (F.shiftleft(F.col(number), FILE_ROWS_BITS) + F.col(f"{at}.row_index")).alias(ROW))
+
+
+def _free(docs: DataFrame, name: str) -> str:
+    """The name, or one made from it that no column has."""
+    while name in docs.columns:
+        name += "_"
+    return name
 
 
 def _place_in_file(docs: DataFrame) -> Column | None:
