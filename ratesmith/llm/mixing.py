@@ -1,9 +1,11 @@
 """Mixing sources to target weights.
 
 The words of a source are one stream, its documents ordered by a hash of doc_id, cut into blocks
-of a fixed number of words. A source's slots are spread over output shards by a hash, so a shard's
-source counts are multinomial given each source's total; slot j takes the block that a keyed
-permutation of the source's block indexes (swap-or-not, a new key for every pass) assigns to it.
+of a fixed number of words. Every output shard draws its source counts multinomially, with the chances of
+the targets; where a source is drawn more often than its target asks, the last of its slots go to
+sources drawn too seldom, so that targets are met and no block is used more than twice. A source's
+slot j takes the block that a keyed permutation of the source's block indexes (swap-or-not, a new key
+for every pass) assigns to it.
 Slots and blocks meet by (source, block), so a hot source is spread over its blocks.
 
 Targets: sources by code point (NULL last) weigh 5, 2, 1, repeating, and share 150 % of all words;
@@ -27,6 +29,8 @@ MOST = 2.0
 ROUNDS = 12
 SEED = 20
 CHUNK_ROWS = 10000
+CELLS = 4096
+SHARD_BATCH = 4096
 
 
 def sizes(documents: DataFrame) -> DataFrame:
@@ -107,24 +111,85 @@ def pieces(rows: DataFrame) -> DataFrame:
     )
 
 
+def shard_counts(sources: DataFrame, total_slots: int) -> DataFrame:
+    """How many of a shard's slots each source gets: shard, source, n.
+
+    Every place of a shard draws its source with the chances that the sources' slots have among all
+    slots, so a shard's counts are one multinomial draw. A place meets the sources of its cell of the
+    drawn range only; there are at least as many cells as sources, so small sources that share a
+    cell are drawn seldom enough for that. Counts are added up in the map tasks.
+    """
+    total = max(1, total_slots)
+    width = -(-total // (CELLS + sources.count()))
+    upto = F.sum("slots").over(Window.orderBy(F.col("source").asc_nulls_last()))
+    ranges = sources.where("slots > 0").select("source", (upto - F.col("slots")).alias("low"), upto.alias("high"))
+    cells = ranges.select("source", "low", "high", F.explode(F.sequence(
+        F.floor(F.col("low") / width), F.floor((F.col("high") - 1) / width))).alias("cell"))
+    drawn = F.pmod(F.xxhash64(F.lit(SEED), "id"), F.lit(total))
+    places = sources.sparkSession.range(total_slots).select(
+        F.floor(F.col("id") / SHARD_SLOTS).alias("shard"), drawn.alias("drawn"))
+    places = places.withColumn("cell", F.floor(F.col("drawn") / width))
+    return places.join(cells, "cell").where("drawn >= low AND drawn < high").groupBy("shard", "source").agg(
+        F.count("*").alias("n"))
+
+
+def _first_slots(counts: DataFrame) -> DataFrame:
+    """The counts with the number of the source's slots in earlier shards, added up group by group."""
+    grouped = counts.withColumn("batch", F.floor(F.col("shard") / SHARD_BATCH))
+    sums = grouped.groupBy("source", "batch").agg(F.sum("n").alias("batch_n"))
+    earlier = Window.partitionBy("source").orderBy("batch").rowsBetween(Window.unboundedPreceding, -1)
+    bases = sums.select("source", "batch", F.coalesce(F.sum("batch_n").over(earlier), F.lit(0)).alias("base"))
+    within = Window.partitionBy("source", "batch").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    inner = grouped.withColumn("before", F.coalesce(F.sum("n").over(within), F.lit(0)))
+    return inner.join(bases, _same(inner, bases, "source", "batch")).select(
+        "shard", inner["source"], "n", (F.col("base") + F.col("before")).alias("first"))
+
+
+def _moved_slots(placed: DataFrame, counts: DataFrame, sources: DataFrame) -> DataFrame:
+    """The slots drawn beyond their source's number, given to the sources drawn too seldom.
+
+    Both are numbered from 0 and there are equally many, of the order of the square root of a source's
+    slots. The windows run over one row per source, and over the last shards of the sources
+    drawn too often.
+    """
+    upto = F.sum("over").over(Window.orderBy("shard", F.col("source").asc_nulls_last()))
+    beyond = placed.where("over > 0").select("shard", "over", upto.alias("upto")).select(
+        "shard", F.explode(F.sequence(F.col("upto") - F.col("over"), F.col("upto") - 1)).alias("number"))
+    sums = counts.groupBy("source").agg(F.sum("n").alias("n"))
+    drawn = sources.join(sums, _same(sources, sums, "source"), "left").select(
+        sources["source"], "blocks", "slots", F.coalesce("n", F.lit(0)).alias("n"))
+    short = drawn.where("slots > n").withColumn("short", F.col("slots") - F.col("n"))
+    low = F.sum("short").over(Window.orderBy(F.col("source").asc_nulls_last())) - F.col("short")
+    fills = short.withColumn("low", low).select(
+        "source", "blocks", "n", "low",
+        F.explode(F.sequence(F.col("low"), F.col("low") + F.col("short") - 1)).alias("number"))
+    return beyond.join(fills, "number").select(
+        "shard", "source", "blocks", (F.col("n") + F.col("number") - F.col("low")).alias("slot"))
+
+
 def draws(sources: DataFrame, total_slots: int) -> DataFrame:
     """One row per slot of the mixture: shard, source, slot, block."""
-    shards = max(1, -(-total_slots // SHARD_SLOTS))
+    counts = staged(shard_counts(sources, total_slots), "shard_counts")
+    firsts = _first_slots(counts)
+    placed = firsts.join(sources, _same(firsts, sources, "source")).select(
+        "shard", firsts["source"], "blocks", "first",
+        F.greatest(F.lit(0), F.least("n", F.col("slots") - F.col("first"))).alias("kept"), "n",
+    ).withColumn("over", F.col("n") - F.col("kept"))
     step = 4096
     spans = (
-        sources.where("slots > 0")
-        .select("source", "blocks", "slots",
-                F.explode(F.sequence(F.lit(0), F.floor((F.col("slots") - 1) / step))).alias("span"))
-        .repartition("source", "span")
+        placed.where("kept > 0")
+        .select("shard", "source", "blocks", "first", "kept",
+                F.explode(F.sequence(F.lit(0), F.floor((F.col("kept") - 1) / step))).alias("span"))
+        .repartition("shard", "source", "span")
     )
-    slots = spans.select(
-        "source", "blocks",
+    own = spans.select(
+        "shard", "source", "blocks",
         F.explode(F.sequence(F.col("span") * step,
-                             F.least(F.col("slots"), (F.col("span") + 1) * step) - 1)).alias("slot"),
-    ).withColumns({
+                             F.least(F.col("kept"), (F.col("span") + 1) * step) - 1)).alias("place"), "first",
+    ).select("shard", "source", "blocks", (F.col("first") + F.col("place")).alias("slot"))
+    slots = own.unionByName(_moved_slots(placed, counts, sources)).withColumns({
         "pass": F.floor(F.col("slot") / F.col("blocks")),
         "block": F.pmod("slot", "blocks"),
-        "shard": F.pmod(F.xxhash64(F.lit(SEED), "source", "slot"), F.lit(shards)),
     })
     for key in range(SEED, SEED + ROUNDS):
         shift = F.pmod(F.xxhash64(F.lit(key), "source", "pass"), F.col("blocks"))

@@ -137,3 +137,35 @@ def test_permutation_uses_every_block_once(spark):
     assert counts == {("a", 1, 1000), (None, 2, 7)}
     order = [r.block for r in drawn.where("source = 'a'").orderBy("slot").collect()]
     assert order != sorted(order)
+
+
+def test_shards_draw_their_counts(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SHARD_SLOTS", 500)
+    slots = {"a": 12000, "b": 6000, "c": 2400, None: 7, "d": 0, "e": 1800}
+    sources = spark.createDataFrame(
+        [(name, max(1, n // 2), n) for name, n in slots.items()], "source string, blocks long, slots long")
+    total = sum(slots.values())
+    rows = mixing.draws(sources, total).collect()
+    again = mixing.draws(sources, total).collect()
+    assert sorted(map(repr, rows)) == sorted(map(repr, again))
+    by_source, by_shard = defaultdict(list), defaultdict(lambda: defaultdict(int))
+    for row in rows:
+        by_source[row.source].append(row.slot)
+        by_shard[row.shard][row.source] += 1
+    # targets are met and every slot occurs once
+    assert {name: sorted(found) for name, found in by_source.items()} == {
+        name: list(range(n)) for name, n in slots.items() if n}
+    assert [sum(by_shard[k].values()) for k in range(len(by_shard))] == [500] * (total // 500) + [total % 500]
+    # spread of a multinomial draw: variance 500 p (1 - p) over the shards whose counts were not adjusted
+    early = np.array([[by_shard[k][name] for name in "abce"] for k in range(total // 500 - 5)])
+    chance = np.array([slots[name] for name in "abce"]) / total
+    variance = 500 * chance * (1 - chance)
+    assert np.all(np.abs(early.mean(axis=0) - 500 * chance) < 4 * np.sqrt(variance / len(early)))
+    assert np.all((early.var(axis=0) > 0.4 * variance) & (early.var(axis=0) < 2 * variance))
+
+
+def test_many_small_sources_share_a_cell(spark):
+    sources = spark.createDataFrame(
+        [("big", 10**5, 10**5)] + [(f"s{k}", 1, 1) for k in range(3000)], "source string, blocks long, slots long")
+    counts = mixing.draws(sources, 103000).groupBy("source").count().collect()
+    assert {row.source: row["count"] for row in counts} == {"big": 10**5} | {f"s{k}": 1 for k in range(3000)}
