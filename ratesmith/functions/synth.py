@@ -9,6 +9,7 @@ from __future__ import annotations
 import string
 from collections.abc import Callable, Mapping, Sequence
 from copy import copy
+from functools import reduce
 from itertools import accumulate
 
 from pyspark.sql import Column, functions as F
@@ -39,6 +40,9 @@ ALPHABETS = {
 
 _UNIT = 2.0 ** -53
 
+# Longest text drawn without a lambda per character, and the characters put into one whole number.
+_UNROLLED, _BLOCK = 256, 8
+
 
 def _operand(value: int | str | Column) -> Column:
     if isinstance(value, Column):
@@ -141,11 +145,53 @@ class Draws:
         stop = start if stop is None else stop
         if not pool or start > stop or start < len(include):
             raise ValueError("no such string: check alphabet, length and included characters")
-        characters = self.repeated(self.integer(start, stop) - len(include), lambda draws: draws.choice(pool))
+        times, most = self.integer(start, stop) - len(include), stop - len(include)
+        plain = all(len(ch) == 1 and ch.isascii() for ch in pool)
+        if plain and 0 < most <= _UNROLLED and all(len(ch) == 1 for ch in include):
+            characters = self._characters(pool, times, most)
+            return self._inserted(characters, times, include) if include else characters
+        characters = self.repeated(times, lambda draws: draws.choice(pool))
         if include:
             characters = self.shuffle(F.concat(characters, F.array(*map(F.lit, include))))
         return F.array_join(characters, "")
 
+    def _characters(self, pool: Sequence[str], times: Column, most: int) -> Column:
+        """`times` ASCII characters of a pool, at most `most`, as one string and without a lambda per place.
+
+        The row is hashed once, and every place from that hash. The characters' codes become the bytes
+        of whole numbers, because joining strings of one character costs more than drawing them.
+        """
+        number = self.count
+        row, size = self._hash(), F.lit(len(pool))
+        codes = F.split(F.lit(",".join(str(ord(ch)) for ch in pool)), ",").cast("array<bigint>")
+        blocks = []
+        for first in range(0, most, _BLOCK):
+            last = min(first + _BLOCK, most)
+            drawn = [F.get(codes, F.pmod(F.xxhash64(row.bitwiseXOR(place)), size).cast("int"))
+                     for place in range(first, last)]
+            digits = F.hex(reduce(lambda left, code: F.shiftleft(left, 8).bitwiseOR(code), drawn))
+            if any(ord(ch) < 16 for ch in pool):
+                digits = F.lpad(digits, 2 * (last - first), "0")
+            blocks.append(F.when(times > first, digits).otherwise("") if first else digits)
+        characters = F.substring(F.unhex(F.concat(*blocks)), F.lit(1), times).cast("string")
+        # No text is longer, so this lambda never runs. An operator that has one is compiled as many
+        # small methods; whole-stage code would be one, too long for the JVM to compile.
+        self.count = number
+        rest = F.array_join(self.repeated(times, lambda draws: draws.choice(pool)), "")
+        return F.concat(characters, F.when(times > most, rest).otherwise(""))
+
+    def _inserted(self, characters: Column, length: Column, items: Sequence[str]) -> Column:
+        """A string of `length` characters drawn alike, with further ones put at random places.
+
+        Each goes to any place with equal weights, so all orders are as likely as after a shuffle.
+        """
+        before = self.count
+        for place, item in enumerate(items, 1):
+            self.count = before
+            position = F.pmod(self.at(F.lit(place))._hash(), length + place) + 1
+            characters = F.overlay(characters, F.lit(item), position.cast("int"), F.lit(0))
+        return characters
+
     def repeated(self, times: Column, draw: Callable[[Draws], Column]) -> Column:
         """An array of text drawn anew for each of `times` places; one expression of any length."""
         places = F.sequence(F.lit(1), F.greatest(times, F.lit(1)))

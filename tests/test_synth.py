@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -107,3 +109,83 @@ def test_groups_inside_a_repeat(spark):
     table = spark.range(400).select(template.column(Draws("id")).alias("v"))
     assert table.where(~F.col("v").rlike(f"^{template.pattern}$")).isEmpty()
     assert table.where("v RLIKE '^(.=.;){3}.$'").count() > 50
+
+
+def test_short_texts_are_drawn_without_a_lambda_per_character(spark):
+    """A lambda costs each character most of a microsecond; it may only stand where it never runs."""
+    for options in (dict(), dict(include="@#", start=4, stop=9), dict(start=1, stop=200)):
+        text = Draws("id").text("letters", **options)
+        plan = spark.range(5).select(text.alias("t"))._jdf.queryExecution().optimizedPlan().toString()
+        assert "xxhash64(xxhash64" in plan or re.search(r"xxhash64\(\(xxhash64", plan)
+        before, guarded, _ = plan.partition("THEN array_join")
+        assert guarded and "transform(" not in before and "sequence(" not in before
+
+
+def test_many_texts_stay_out_of_whole_stage_code(spark):
+    """One method for all of them would be too long for the JVM to compile."""
+    draws = Draws("id")
+    table = spark.range(50).select(*(draws.text("printable", 1, 60).alias(f"t{i}") for i in range(20)))
+    project = [line for line in table._jdf.queryExecution().executedPlan().toString().split("\n") if "Project" in line]
+    assert project and not any("*(" in line for line in project)
+
+
+def test_characters_and_lengths_are_drawn_alike(spark, rows):
+    def near(column, values):
+        counts = {r[0]: r[1] for r in column.groupBy("c").count().collect()}
+        total = sum(counts.values())
+        assert set(counts) == set(values)
+        assert all(abs(n / total * len(values) - 1) < 0.15 for n in counts.values())
+
+    for alphabet in ("printable", "letters", "whitespace"):
+        texts = spark.range(20000).select(Draws("id", seed=3).text(alphabet, 1, 20).alias("t"))
+        near(texts.select(F.explode(F.split("t", "")).alias("c")), ALPHABETS[alphabet])
+        near(texts.select(F.length("t").alias("c")), range(1, 21))
+    # neighbours within a block of eight characters and across two blocks
+    texts = spark.range(20000).select(Draws("id").text("abc", 20).alias("t"))
+    for place in (1, 8, 9, 16):
+        near(texts.select(F.substring("t", place, 2).alias("c")), [a + b for a in "abc" for b in "abc"])
+
+
+def test_characters_given_twice_weigh_double(spark):
+    texts = spark.range(20000).select(Draws("id").text("AAB", 1).alias("t"))
+    assert abs(texts.where("t = 'A'").count() / 20000 - 2 / 3) < 0.02
+
+
+def test_every_order_of_included_characters_is_as_likely(spark):
+    texts = spark.range(12000).select(Draws("id").text("x", 4, include="ab").alias("t"))
+    counts = {r.t: r["count"] for r in texts.groupBy("t").count().collect()}
+    assert len(counts) == 12 and all(850 < n < 1150 for n in counts.values())
+    # nothing but the included characters, and characters beyond ASCII
+    only = spark.range(600).select(Draws("id").text("x", 3, include="a\u00e9\U0001f600").alias("t"))
+    assert only.distinct().count() == 6
+
+
+def test_texts_of_any_characters_and_lengths(spark):
+    draws = Draws("id")
+    table = spark.range(500).select(
+        draws.text("a\u00e9\U0001f600", 3, 12).alias("wide"), draws.text(["ab", "cd"], 2).alias("pairs"),
+        draws.text("x", 4, include=["yz"]).alias("included"), draws.text("\x00\t~", 1, 9).alias("control"),
+        draws.text("letters", 256).alias("last"), draws.text("letters", 257).alias("longer"),
+        draws.text("letters", 3, include="@#!").alias("full"))
+    bad = table.where(
+        (~F.col("wide").rlike("^[a\u00e9\U0001f600]{3,12}$")) | (~F.col("pairs").rlike("^(ab|cd){2}$"))
+        | (F.length("included") != 5) | (~F.col("included").contains("yz"))
+        | (~F.col("control").rlike(r"\A[\x00\t~]{1,9}\z"))
+        | (F.length("last") != 256) | (F.length("longer") != 257)
+        | (F.length("full") != 3) | (F.array_join(F.array_sort(F.split("full", "")), "") != "!#@"))
+    assert bad.isEmpty()
+
+
+def test_later_draws_do_not_depend_on_how_a_text_is_drawn():
+    counts = set()
+    for options in (dict(start=5), dict(start=300), dict(start=5, include="@#")):
+        draws = Draws(F.lit(1))
+        draws.text("letters", **options)
+        counts.add((options.get("include", ""), draws.count))
+    assert counts == {("", 2), ("@#", 3)}
+
+
+def test_texts_of_null_and_repeated_keys(spark):
+    table = spark.createDataFrame([(None,), (None,), (1,), (1,)], "k bigint").select(
+        "k", Draws("k").text("letters", include="@").alias("t"))
+    assert table.distinct().count() == 2 and table.where("t IS NULL OR NOT t LIKE '%@%'").isEmpty()
